@@ -16,6 +16,10 @@ def rounded(value: str, digits: int) -> str:
     return f"(round_even(({value}) * {scale}, 0) / {scale})"
 
 
+def finite(value: str) -> str:
+    return f"CASE WHEN isfinite({value}) THEN {value} END"
+
+
 def hashed(key: str, seed: int) -> str:
     return f"((({key}) % 2147483648) * 2654435761 + {seed}) % 4294967296"
 

@@ -43,10 +43,13 @@ class Warehouse:
         return stage(self._events_raw(), "events_raw")
 
     @cached_property
+    def facts(self) -> DataFrame:
+        """The fact table, partitioned by `date_month` so date filters prune files."""
+        return stage(clean.clean_trips(self.trips_raw), "trips", month_of="date")
+
+    @property
     def trips(self) -> DataFrame:
-        """The fact table, partitioned by month so date filters prune files."""
-        facts = clean.clean_trips(self.trips_raw)
-        return stage(facts, "trips", month_of="date").drop("date_month")
+        return self.facts.drop("date_month")
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -85,4 +88,8 @@ class Warehouse:
     @property
     def featured(self) -> DataFrame:
         """Trips with every feature: one map-side join, no shuffle of the facts."""
-        return self.trips.join(self.days, "date", "left").transform(features.add_hour_features)
+        return self.featured_by_month.drop("date_month")
+
+    @property
+    def featured_by_month(self) -> DataFrame:
+        return self.facts.join(self.days, "date", "left").transform(features.add_hour_features)
