@@ -1,6 +1,6 @@
 """The registered queries: how the given tables play the three roles, each query, and its SQL."""
 
-from headway.catalog import landing, preparation, reports  # noqa: F401  (importing registers queries)
+from headway.catalog import encoding, landing, outlook, preparation, reports  # noqa: F401  (importing registers queries)
 from headway.catalog.registry import QUERIES, SQL, warehouse
 
 __all__ = ["QUERIES", "SQL", "warehouse"]
