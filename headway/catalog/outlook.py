@@ -27,18 +27,14 @@ SERIES = {
 }
 
 
-def _daily(w: Warehouse) -> DataFrame:
-    return series.daily_series(w.trips, BY)
-
-
 def _naive(w: Warehouse) -> DataFrame:
-    daily = _daily(w)
+    daily = w.borough_days
     return series.with_history(daily, series.seasonal_naive(daily, BY))
 
 
 @register("daily_gapfill", with_ctes("SELECT borough, date, value FROM filled", SERIES))
 def daily_gapfill(w: Warehouse):
-    return _daily(w)
+    return series.daily_series(w.trips, BY)
 
 
 @register(
@@ -87,13 +83,13 @@ def forecast_summary(w: Warehouse):
 @register("hw_grid_fit")
 def hw_grid_fit(w: Warehouse):
     """Weights, squared error and next week of every borough's series."""
-    return series.fit_holt_winters(_daily(w), BY)
+    return series.fit_holt_winters(w.borough_days, BY)
 
 
 @register("forecast")
 def forecast(w: Warehouse):
     """History and the fitted forecast, re-anchored to a given day."""
-    daily = _daily(w)
+    daily = w.borough_days
     steps = series.forecast_steps(series.fit_holt_winters(daily, BY), BY)
     return series.reanchor(series.with_history(daily, steps), AS_OF, BY)
 

@@ -112,17 +112,17 @@ def classify_weather(raw: DataFrame) -> DataFrame:
 
 
 def fill_gaps(df: DataFrame, columns: list[str], order: str, by: list[str] | None = None) -> DataFrame:
-    """Each null takes the last earlier value, else the first later one.
+    """Each null takes the last earlier value, else (at the start) the first known one.
 
     Meant for day-grain tables, where a window holds at most one row per calendar day; give `by`
     when the table has several series.
     """
     ordered = W.partitionBy(*(by or [])).orderBy(order)
     past = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    future = ordered.rowsBetween(W.currentRow, W.unboundedFollowing)
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     filled = {
         c: F.coalesce(
-            F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(future)
+            F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(whole)
         )
         for c in columns
     }

@@ -59,8 +59,9 @@ def fit_holt_winters(daily: DataFrame, by: list[str] | None = None) -> DataFrame
             found = pd.DataFrame([smoothing.best_fit(v, HORIZON) for v in frame["values"]])
             yield pd.concat([frame.drop(columns="values").reset_index(drop=True), found], axis=1)
 
-    spread = series.repartition(*(by or ["series"]))
-    return spread.mapInPandas(fit, schema)
+    # A given partition count is kept by adaptive execution, which would merge such small rows.
+    parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return series.repartition(parts, *(by or ["series"])).mapInPandas(fit, schema)
 
 
 def seasonal_naive(daily: DataFrame, by: list[str] | None = None) -> DataFrame:

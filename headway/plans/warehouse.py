@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from headway.operators import clean, features
+from headway.operators import clean, encode, features, series
 from headway.plans.staging import stage
 
 
@@ -80,6 +80,23 @@ class Warehouse:
         )
         return stage(known, "days")
 
+    @cached_property
+    def borough_days(self) -> DataFrame:
+        """Gap-filled daily mean delay per borough."""
+        return stage(series.daily_series(self.trips, ["borough"]), "borough_days")
+
+    @cached_property
+    def regression_matrix(self) -> DataFrame:
+        return self._matrix("regression")
+
+    @cached_property
+    def classification_matrix(self) -> DataFrame:
+        return self._matrix("classification")
+
+    def _matrix(self, task: str) -> DataFrame:
+        """Encoded features, staged because every model reads them many times."""
+        return stage(encode.model_matrix(encode.encode(self.featured), task), f"{task}_matrix")
+
     @property
     def merged(self) -> DataFrame:
         """Trips with weather and events: two map-side joins, no shuffle of the facts."""
