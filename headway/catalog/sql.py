@@ -6,6 +6,7 @@ import re
 
 from headway.catalog import roles
 from headway.functions import calendar, delay, weather
+from headway.functions.core import hash_multiplier
 from headway.sources.generators import RECURRING_EVENTS, SEED_EVENTS
 from headway.sources.schemas import WEATHER_MEASURES
 
@@ -21,7 +22,7 @@ def finite(value: str) -> str:
 
 
 def hashed(key: str, seed: int) -> str:
-    return f"((({key}) % 2147483648) * 2654435761 + {seed}) % 4294967296"
+    return f"((({key}) % 2147483648) * {hash_multiplier(seed)} + {seed}) % 4294967296"
 
 
 def text(value: str) -> str:

@@ -50,14 +50,18 @@ def whole_number(value: Column) -> Column:
     return F.coalesce(parsed.cast("int"), F.lit(0))
 
 
+def hash_multiplier(seed: int) -> int:
+    """An odd factor below 2**32. Each seed has its own, so different seeds order keys differently."""
+    return (2654435761 + 2 * 1640531527 * seed) % HASH_RANGE | 1
+
+
 def portable_hash(key: Column, seed: int) -> Column:
     """Multiplicative hash in [0, 2**32), the same in any SQL engine with 64-bit integers.
 
     The product stays below 2**63, so ANSI mode cannot overflow.
     """
-    return (F.pmod(key.cast("bigint"), F.lit(2147483648)) * F.lit(2654435761) + F.lit(seed)) % F.lit(
-        HASH_RANGE
-    )
+    low = F.pmod(key.cast("bigint"), F.lit(2147483648))
+    return (low * F.lit(hash_multiplier(seed)) + F.lit(seed)) % F.lit(HASH_RANGE)
 
 
 def of_type(schema: T.StructType, *kinds: type) -> list[str]:

@@ -50,18 +50,20 @@ def cap_levels(df: DataFrame, columns: list[str] = CAPPED, n: int = TOP_LEVELS)
 def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted levels per column; the columns of the encoded schema have to be known when planning.
 
-    Like `pivot`, refuses columns with more levels than `spark.sql.pivotMaxValues`.
+    One scan finds the levels of all columns. Like `pivot`, refuses columns with more levels than
+    `spark.sql.pivotMaxValues`.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = {}
-    for c in columns:
-        if c in DECLARED_LEVELS:
-            found[c] = DECLARED_LEVELS[c]
-            continue
-        rows = df.select(c).where(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} levels; cap them first")
-        found[c] = sorted(row[0] for row in rows)
+    found = {c: list(DECLARED_LEVELS.get(c, [])) for c in columns}
+    open_ended = [c for c in columns if c not in DECLARED_LEVELS]
+    if open_ended:
+        cells = [F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in open_ended]
+        pairs = df.select(F.inline(F.array(*cells))).where("level IS NOT NULL").distinct()
+        for name, level in pairs.limit(limit + 1).collect():
+            found[name].append(level)
+        if sum(map(len, found.values())) > limit:
+            raise ValueError(f"more than {limit} levels in {open_ended}; cap them first")
+        found |= {c: sorted(found[c]) for c in open_ended}
     return found
 
 

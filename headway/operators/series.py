@@ -59,9 +59,10 @@ def fit_holt_winters(daily: DataFrame, by: list[str] | None = None) -> DataFrame
             found = pd.DataFrame([smoothing.best_fit(v, HORIZON) for v in frame["values"]])
             yield pd.concat([frame.drop(columns="values").reset_index(drop=True), found], axis=1)
 
-    # A given partition count is kept by adaptive execution, which would merge such small rows.
+    # Few bytes but much work per row: a partition count given by hand is not merged by adaptive
+    # execution, and hashing the hash makes it a shuffle of its own.
     parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return series.repartition(parts, *(by or ["series"])).mapInPandas(fit, schema)
+    return series.repartition(parts, F.xxhash64(*(by or ["series"]))).mapInPandas(fit, schema)
 
 
 def seasonal_naive(daily: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -86,16 +86,17 @@ class Warehouse:
         return stage(series.daily_series(self.trips, ["borough"]), "borough_days")
 
     @cached_property
+    def encoded(self) -> DataFrame:
+        """Encoded features, staged because every model reads them many times."""
+        return stage(encode.encode(self.featured), "encoded")
+
+    @property
     def regression_matrix(self) -> DataFrame:
-        return self._matrix("regression")
+        return encode.model_matrix(self.encoded, "regression")
 
-    @cached_property
+    @property
     def classification_matrix(self) -> DataFrame:
-        return self._matrix("classification")
-
-    def _matrix(self, task: str) -> DataFrame:
-        """Encoded features, staged because every model reads them many times."""
-        return stage(encode.model_matrix(encode.encode(self.featured), task), f"{task}_matrix")
+        return encode.model_matrix(self.encoded, "classification")
 
     @property
     def merged(self) -> DataFrame:
