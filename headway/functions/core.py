@@ -17,6 +17,11 @@ def half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """Null instead of an error when the divisor is 0."""
+    return F.try_divide(part, whole)
+
+
 def first_match(rules: Iterable[tuple[Column, object]], otherwise: object = None) -> Column:
     """The value of the first rule that holds. A null condition counts as not matched."""
     chain = F

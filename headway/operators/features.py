@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headway.functions import calendar, events, weather
-from headway.functions.core import flag, half_even
+from headway.functions.core import flag, half_even, ratio
 
 LAG_COLUMNS = [
     "prev_day_avg_delay", "rolling_3d_avg_delay", "rolling_7d_avg_delay", "delay_trend_3d",
@@ -140,7 +140,7 @@ def fill_lags(df: DataFrame, row_mean) -> DataFrame:
 
 def mean_over_records(daily: DataFrame):
     """Mean over all records, taken from the day table's sums (a scalar subquery)."""
-    return daily.agg((F.sum("delay_sum") / F.sum("delay_records")).alias("mean")).scalar()
+    return daily.agg(ratio(F.sum("delay_sum"), F.sum("delay_records"))).scalar()
 
 
 def add_lag_features(df: DataFrame, daily: DataFrame | None = None, leak_free: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.core import half_even
+from headway.functions.core import half_even, ratio
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -32,8 +32,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     residual, total = F.sum(error * error), F.var_pop(y) * n
     return df.agg(
         half_even(F.avg(F.abs(error)), digits).alias("mae"),
-        half_even(F.sqrt(residual / n), digits).alias("rmse"),
-        half_even(F.when(total > 0, 1 - residual / total), digits).alias("r2"),
+        half_even(F.sqrt(ratio(residual, n)), digits).alias("rmse"),
+        half_even(F.when(total > 0, 1 - ratio(residual, total)), digits).alias("r2"),
     )
 
 
@@ -63,7 +63,7 @@ def class_scores(counts: DataFrame) -> DataFrame:
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(0.0)
+    return F.coalesce(ratio(part, whole), F.lit(0.0))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str, digits: int = 4) -> DataFrame:
@@ -76,8 +76,8 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, digits: i
     """Accuracy and support-weighted precision, recall and F1."""
     scores = class_scores(confusion(df, label, prediction))
     total = F.sum("support")
-    weighted = {c: F.sum(F.col(c) * F.col("support")) / total for c in ("precision", "recall", "f1")}
+    weighted = {c: ratio(F.sum(F.col(c) * F.col("support")), total) for c in ("precision", "recall", "f1")}
     return scores.agg(
-        half_even(F.sum("hits") / total, digits).alias("accuracy"),
+        half_even(ratio(F.sum("hits"), total), digits).alias("accuracy"),
         *[half_even(value, digits).alias(name) for name, value in weighted.items()],
     )

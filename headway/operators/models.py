@@ -112,7 +112,7 @@ def cross_validate(
         parallelism=2,
     )
     fitted = validator.fit(with_fold(vectors, key, folds))
-    return fitted.avgMetrics[0], fitted.stdMetrics[0]
+    return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
 
 
 @dataclass

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.functions.calendar import WEEKDAYS
-from headway.functions.core import first_match, flag
+from headway.functions.core import first_match, flag, nan_to_null, ratio
 
 CORRELATION_COLUMNS = [
     "delay_minutes", "precipitation_mm", "wind_speed_max_kmh", "temperature_mean_c",
@@ -86,8 +86,8 @@ def overview(df: DataFrame) -> DataFrame:
     n = F.sum("n")
     return per_day.agg(
         n.alias("total_records"),
-        (F.sum("minutes") / n).alias("avg_delay"),
-        (F.sum("delayed") * 100 / n).alias("delayed_percent"),
+        ratio(F.sum("minutes"), n).alias("avg_delay"),
+        ratio(F.sum("delayed") * 100, n).alias("delayed_percent"),
         F.sum("bad").alias("bad_weather_records"),
         F.sum("eventful").alias("event_records"),
         F.sum("bad_day").cast("bigint").alias("bad_weather_days"),
@@ -136,7 +136,7 @@ def counts_of(df: DataFrame, by: list[str], y: str) -> DataFrame:
 
 
 def _mean_median(y: str) -> tuple[Column, Column]:
-    mean = F.sum(F.col(y) * F.col("n")) / F.sum("n")
+    mean = ratio(F.sum(F.col(y) * F.col("n")), F.sum("n"))
     return mean.alias("mean"), F.percentile(y, 0.5, F.col("n")).alias("median")
 
 
@@ -173,8 +173,9 @@ def correlations(df: DataFrame, columns: list[str] = CORRELATION_COLUMNS) -> Dat
     result lists both orders of a pair, like a matrix; a constant column correlates with nothing.
     """
     columns = [c for c in columns if c in df.columns]
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    centred = df.select([(F.col(c) - means[c]).cast("double").alias(c) for c in columns])
+    clean = df.select([nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    means = clean.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
+    centred = clean.select([(F.col(c) - means[c]).alias(c) for c in columns])
     size = len(columns)
 
     def sums(frames):
@@ -200,25 +201,32 @@ def correlations(df: DataFrame, columns: list[str] = CORRELATION_COLUMNS) -> Dat
         .agg(*[F.sum(c).alias(c) for c in parts])
     )
     n, x, y, xx, yy, xy = [F.col(c) for c in parts]
-    spread_x, spread_y = xx - x * x / n, yy - y * y / n
+    spread_x, spread_y = xx - ratio(x * x, n), yy - ratio(y * y, n)
     tiny = 1e-12
     varies = (n > 0) & (spread_x > tiny * xx) & (spread_y > tiny * yy)
     names = F.array(*[F.lit(c) for c in columns])
     return totals.select(
         names[F.col("a")].alias("column_a"),
         names[F.col("b")].alias("column_b"),
-        F.when(varies, (xy - x * y / n) / F.sqrt(spread_x * spread_y)).alias("correlation"),
+        F.when(varies, ratio(xy - ratio(x * y, n), F.sqrt(spread_x * spread_y))).alias("correlation"),
     )
 
 
 def trend_lines(df: DataFrame, x: str, by: str = "weather_condition", y: str = "delay_minutes") -> DataFrame:
-    """Least-squares line of `y` over `x` in each group."""
-    return df.groupBy(by).agg(
-        F.lit(x).alias("x"),
+    """Least-squares line of `y` over `x` in each group; none where `x` does not vary."""
+    sums = df.groupBy(by).agg(
         F.regr_count(y, x).alias("points"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"),
-        F.regr_r2(y, x).alias("r2"),
+        *[getattr(F, f"regr_{s}")(y, x).alias(s) for s in ("sxx", "syy", "sxy", "avgx", "avgy")],
+    )
+    sxx, syy, sxy = F.col("sxx"), F.col("syy"), F.col("sxy")
+    slope = ratio(sxy, sxx)
+    return sums.select(
+        by,
+        F.lit(x).alias("x"),
+        "points",
+        slope.alias("slope"),
+        (F.col("avgy") - slope * F.col("avgx")).alias("intercept"),
+        F.when((sxx > 0) & (syy == 0), 1.0).otherwise(ratio(sxy * sxy, sxx * syy)).alias("r2"),
     )
 
 
@@ -227,7 +235,7 @@ def histogram(df: DataFrame, y: str = "delay_minutes", bins: int = 50) -> DataFr
     counts = counts_of(df, [], y)
     span = counts.agg(F.struct(F.min(y).alias("low"), F.max(y).alias("high"))).scalar()
     low, width = span["low"], (span["high"] - span["low"]) / bins
-    place = F.least(F.floor((F.col(y) - low) / width), F.lit(bins - 1)).cast("int")
+    place = F.least(F.floor(ratio(F.col(y) - low, width)), F.lit(bins - 1)).cast("int")
     filled = counts.groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(F.sum("n").alias("records"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(filled, "bin", "left").select(
@@ -242,9 +250,9 @@ def density(df: DataFrame, y: str = "delay_minutes", points: int = 200) -> DataF
     """Gaussian kernel density on an even grid over the data range, Scott's bandwidth."""
     counts = counts_of(df, [], y).withColumn("v", F.col(y).cast("double"))
     n = F.sum("n")
-    mean = F.sum(F.col("v") * F.col("n")) / n
+    mean = ratio(F.sum(F.col("v") * F.col("n")), n)
     squares = F.sum(F.col("v") * F.col("v") * F.col("n"))
-    spread = F.sqrt((squares - n * mean * mean) / (n - 1))
+    spread = F.sqrt(ratio(squares - n * mean * mean, n - 1))
     facts = counts.agg(
         F.struct(
             n.cast("double").alias("n"),
@@ -257,11 +265,11 @@ def density(df: DataFrame, y: str = "delay_minutes", points: int = 200) -> DataF
         "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     x = F.col("f.low") + F.col("point") * (F.col("f.high") - F.col("f.low")) / (points - 1)
-    gap = (x - F.col("v")) / F.col("f.width")
+    gap = ratio(x - F.col("v"), F.col("f.width"))
     kernel = F.exp(-0.5 * gap * gap) * F.col("n")
     scale = F.col("f.n") * F.col("f.width") * F.sqrt(2 * F.pi())
     return grid.groupBy("point").agg(
-        F.first(x).alias("x"), (F.sum(kernel) / F.first(scale)).alias("density")
+        F.first(x).alias("x"), ratio(F.sum(kernel), F.first(scale)).alias("density")
     )
 
 
@@ -276,16 +284,15 @@ def welch(df: DataFrame, split: Column, y: str = "delay_minutes") -> DataFrame:
         F.var_samp(high).alias("var_high"),
         F.var_samp(low).alias("var_low"),
     )
-    a, b = F.col("var_high") / F.col("n_high"), F.col("var_low") / F.col("n_low")
+    a, b = ratio(F.col("var_high"), F.col("n_high")), ratio(F.col("var_low"), F.col("n_low"))
+    spread = ratio(a * a, F.col("n_high") - 1) + ratio(b * b, F.col("n_low") - 1)
     return moments.select(
         "n_high",
         "n_low",
         "mean_high",
         "mean_low",
-        ((F.col("mean_high") - F.col("mean_low")) / F.sqrt(a + b)).alias("t"),
-        (
-            (a + b) * (a + b) / (a * a / (F.col("n_high") - 1) + b * b / (F.col("n_low") - 1))
-        ).alias("degrees"),
+        ratio(F.col("mean_high") - F.col("mean_low"), F.sqrt(a + b)).alias("t"),
+        ratio((a + b) * (a + b), spread).alias("degrees"),
     )
 
 

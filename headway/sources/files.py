@@ -68,9 +68,13 @@ def csv_to_parquet(spark: SparkSession, tables: dict[str, tuple[str, str, str |
 
 
 def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of parallel arrays, one array per measure, to one row per day."""
+    """Documents of parallel arrays, one array per measure, to one row per day.
+
+    A measure that a document lacks is null on all of its days.
+    """
     fields = ["time", *WEATHER_RENAMES]
-    zipped = F.arrays_zip(*[F.col(f"daily.{name}").alias(name) for name in fields])
+    arrays = [F.coalesce(F.col(f"daily.{name}"), F.array()).alias(name) for name in fields]
+    zipped = F.arrays_zip(*arrays)
     names = {"time": "date", **WEATHER_RENAMES}
     return (
         spark.read.schema(WEATHER_DOCUMENT_SCHEMA)
