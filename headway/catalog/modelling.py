@@ -17,7 +17,7 @@ from headway.catalog.registry import register
 from headway.catalog.sql import rounded, with_ctes
 from headway.functions.core import half_even
 from headway.operators import encode, explain, metrics, models, sampling
-from headway.plans.staging import new_path
+from headway.plans.staging import new_path, stage
 from headway.plans.warehouse import Warehouse
 
 KEY = "incident_id"
@@ -29,9 +29,10 @@ def _regression_split(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     return rows.where("is_test = 0").drop("is_test"), rows.where("is_test = 1").drop("is_test")
 
 
+@cache
 def _classification_split(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     rows = w.classification_matrix.select(KEY, "label", *COMPACT)
-    rows = sampling.split_stratified(rows, "label", KEY)
+    rows = stage(sampling.split_stratified(rows, "label", KEY), "classification_split")
     return rows.where("is_test = 0").drop("is_test"), rows.where("is_test = 1").drop("is_test")
 
 

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from headway.sources.schemas import HOLIDAY_SCHEMA, WEATHER_DOCUMENT_SCHEMA, WEATHER_RENAMES
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Header CSV. Without a schema Spark infers one, which costs a second pass over the files."""
-    reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"', multiLine=False)
+def read_csv(
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV. Without a schema Spark infers one, which costs a second pass over the files.
+
+    Fields with line breaks need `multi_line`, which reads each file in one task.
+    """
+    reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line)
     return reader.schema(schema).csv(path) if schema else reader.csv(path, inferSchema=True)
 
 

@@ -159,6 +159,13 @@ def test_stratified_split_is_exact_and_stable(spark):
     assert sum(i % 10 == 3 for i in ids) == 80 and sum(i % 10 != 3 for i in ids) == math.ceil(0.2 * 3601)
 
 
+def test_stratified_split_does_not_shuffle_rows_by_class(spark):
+    df = spark.range(0, 1000).selectExpr("id", "CAST(id % 2 AS INT) AS y", "uuid() AS payload")
+    text = sampling.split_stratified(df, "y", "id")._jdf.queryExecution().executedPlan().toString()
+    outer = text.split("Subquery")[0]
+    assert "Join" not in text and "Exchange" not in outer
+
+
 def test_seeds_order_keys_independently(spark):
     df = spark.range(0, 20000).select(*[portable_hash(F.col("id"), s).alias(f"h{s}") for s in (7, 42, 43)])
     for a, b in (("h7", "h42"), ("h42", "h43")):
