@@ -149,17 +149,18 @@ def delay_summary(w: Warehouse):
     return stats.summary(w.trips)
 
 
-def _box_sql(by: str, outliers: bool) -> str:
-    extra = ", CAST(sum(CASE WHEN delay_minutes BETWEEN q1 - reach AND q3 + reach THEN 0 ELSE 1 END) AS BIGINT) AS outliers"
+def _box_sql(by: str, outliers: bool, y: str = "delay_minutes", table: str = "merged") -> str:
+    fenced = f"CASE WHEN {y} BETWEEN q1 - reach AND q3 + reach THEN {y} END"
+    extra = f", CAST(sum(CASE WHEN {y} BETWEEN q1 - reach AND q3 + reach THEN 0 ELSE 1 END) AS BIGINT) AS outliers"
+    quarter = {p: f"quantile_cont({y}, {p})" for p in (0.25, 0.5, 0.75)}
     return with_ctes(
         f"SELECT b.{by}, count(*) AS records, any_value(q1) AS q1, any_value(med) AS median, any_value(q3) AS q3, "
-        "min(CASE WHEN delay_minutes BETWEEN q1 - reach AND q3 + reach THEN delay_minutes END) AS whisker_low, "
-        "max(CASE WHEN delay_minutes BETWEEN q1 - reach AND q3 + reach THEN delay_minutes END) AS whisker_high"
-        f"{extra if outliers else ''} FROM boxes AS b JOIN merged AS m ON m.{by} IS NOT DISTINCT FROM b.{by} GROUP BY b.{by}",
+        f"min({fenced}) AS whisker_low, max({fenced}) AS whisker_high"
+        f"{extra if outliers else ''} FROM boxes AS b JOIN {table} AS m ON m.{by} IS NOT DISTINCT FROM b.{by} "
+        f"WHERE {y} IS NOT NULL GROUP BY b.{by}",
         {
-            "boxes": f"SELECT {by}, quantile_cont(delay_minutes, 0.25) AS q1, quantile_cont(delay_minutes, 0.5) AS med, "
-            f"quantile_cont(delay_minutes, 0.75) AS q3, 1.5e0 * (quantile_cont(delay_minutes, 0.75) - quantile_cont(delay_minutes, 0.25)) AS reach "
-            f"FROM merged GROUP BY {by}"
+            "boxes": f"SELECT {by}, {quarter[0.25]} AS q1, {quarter[0.5]} AS med, {quarter[0.75]} AS q3, "
+            f"1.5e0 * ({quarter[0.75]} - {quarter[0.25]}) AS reach FROM {table} GROUP BY {by}"
         },
     )
 
@@ -174,6 +175,12 @@ def box_by_severity(w: Warehouse):
     return stats.box_stats(w.featured, "weather_severity", outliers=False)
 
 
+@register("box_custom", _box_sql("season", True, "weather_severity_index", "featured"))
+def box_custom(w: Warehouse):
+    """A box plot of a freely chosen measure, whose number of values is not known."""
+    return stats.box_stats(w.featured, "season", "weather_severity_index", few_values=False)
+
+
 _CORR = stats.CORRELATION_COLUMNS
 # The exploration report's shorter list; its event column lives on in `max_attendance`.
 _CORR_SHORT = [

@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,11 +145,68 @@ def summary(df: DataFrame, y: str = "delay_minutes") -> DataFrame:
     return counts_of(df, [], y).agg(*_mean_median(y), F.sum("n").alias("records"))
 
 
-def box_stats(df: DataFrame, by: str, y: str = "delay_minutes", outliers: bool = True) -> DataFrame:
-    """Quartiles, whiskers (the furthest values within 1.5 IQR of the box) and outlier counts."""
+def quantiles(counts: DataFrame, by: str, y: str, shares: list[float], buckets: int = 256) -> DataFrame:
+    """Exact interpolated quantiles per group of a `counts_of` table, as array `q`.
+
+    For measures with any number of values. Values are put into buckets of similar size, whose
+    running counts tell which bucket holds each wanted rank; only those buckets are sorted, so no
+    task sees a whole group.
+    """
+    inner = [i / buckets for i in range(1, buckets)]
+    edges = counts.agg(F.percentile_approx(y, inner, 10 * buckets)).scalar()
+    bucket = F.size(F.filter("edges", lambda edge: edge < F.col(y)))
+    placed = counts.withColumn("edges", edges).withColumn("bucket", bucket).drop("edges")
+    sizes = placed.groupBy(by, "bucket").agg(F.sum("n").alias("size"))
+    group, upto = W.partitionBy(by), W.partitionBy(by).orderBy("bucket")
+    running = sizes.withColumn("below", F.sum("size").over(upto) - F.col("size")).withColumn(
+        "total", F.sum("size").over(group)
+    )
+    position = F.col("share") * (F.col("total") - 1)
+    ranks = F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position))))
+    asked = (
+        running.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+        .withColumn("position", position)
+        .withColumn("rank", ranks)
+        .where("below <= rank AND rank < below + size")
+        .select(F.col(by).alias("_group"), F.col("bucket").alias("_bucket"), "below", "share", "position", "rank")
+    )
+    wanted = asked.select("_group", "_bucket", "below").distinct()
+    here = F.col(by).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket"))
+    within = W.partitionBy("_group", "_bucket").orderBy(y)
+    sorted_ = placed.join(wanted, here).select(
+        "_group", "_bucket", y, "n", (F.col("below") + F.sum("n").over(within)).alias("end")
+    )
+    a, b = asked.alias("a"), sorted_.alias("b")
+    same = F.col("a._group").eqNullSafe(F.col("b._group")) & (F.col("a._bucket") == F.col("b._bucket"))
+    covers = (F.col("a.rank") < F.col("b.end")) & (F.col("a.rank") >= F.col("b.end") - F.col("b.n"))
+    found = a.join(b, same & covers).select("a._group", "share", "position", "rank", F.col(y).cast("double").alias("v"))
+    low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
+    part = F.max("position") - F.floor(F.max("position"))
+    per_share = found.groupBy("_group", "share").agg((low + (high - low) * part).alias("v"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("share", "v"))), lambda s: s["v"])
+    return per_share.groupBy(F.col("_group").alias(by)).agg(listed.alias("q"))
+
+
+def box_stats(
+    df: DataFrame,
+    by: str,
+    y: str = "delay_minutes",
+    outliers: bool = True,
+    few_values: bool = True,
+) -> DataFrame:
+    """Quartiles, whiskers (the furthest values within 1.5 IQR of the box) and outlier counts.
+
+    `few_values` says that `y` takes a fixed number of values, as delays do; a group's counts then
+    fit one task. Pass False for any other measure.
+    """
     counts = counts_of(df, [by], y)
-    quartiles = F.percentile(y, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    boxes = counts.groupBy(by).agg(quartiles.alias("q"))
+    shares = [0.25, 0.5, 0.75]
+    if few_values:
+        quartiles = F.percentile(y, F.array(*[F.lit(s) for s in shares]), F.col("n"))
+        boxes = counts.groupBy(by).agg(quartiles.alias("q"))
+    else:
+        boxes = quantiles(counts, by, y, shares)
+    boxes = boxes.select(F.col(by).alias("_group"), "q")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     reach = (q3 - q1) * 1.5
     within = F.col(y).between(q1 - reach, q3 + reach)
@@ -162,7 +220,7 @@ def box_stats(df: DataFrame, by: str, y: str = "delay_minutes", outliers: bool =
     ]
     if outliers:
         aggregates.append(F.sum(F.when(~within, F.col("n")).otherwise(0)).alias("outliers"))
-    matched = counts.join(boxes, counts[by].eqNullSafe(boxes[by])).drop(boxes[by])
+    matched = counts.join(boxes, F.col(by).eqNullSafe(F.col("_group")))
     return matched.groupBy(by).agg(*aggregates)
 
 
