@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from headway.functions.calendar import WEEKDAYS
 from headway.functions.core import first_match, flag, nan_to_null, ratio
+from headway.plans.staging import stage
 
 CORRELATION_COLUMNS = [
     "delay_minutes", "precipitation_mm", "wind_speed_max_kmh", "temperature_mean_c",
@@ -205,6 +206,7 @@ def box_stats(
         quartiles = F.percentile(y, F.array(*[F.lit(s) for s in shares]), F.col("n"))
         boxes = counts.groupBy(by).agg(quartiles.alias("q"))
     else:
+        counts = stage(counts, "value_counts")  # read several times
         boxes = quantiles(counts, by, y, shares)
     boxes = boxes.select(F.col(by).alias("_group"), "q")
     q1, q3 = F.col("q")[0], F.col("q")[2]
