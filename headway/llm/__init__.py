@@ -1,10 +1,22 @@
 """Operators for preparing training text, each with one registered query."""
 
+from headway.llm.nearest import op3_nearest
 from headway.llm.packing import op4_packing
+from headway.llm.quality_classifier import op5_quality_classifier
+from headway.llm.quality_rules import op8_quality_rules
+from headway.llm.secrets import op6_secrets
 from headway.llm.token_counts import op10_token_counts
+from headway.llm.url_filter import op9_url_filter
+from headway.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op3_nearest": op3_nearest,
     "op4_packing": op4_packing,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_secrets": op6_secrets,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
