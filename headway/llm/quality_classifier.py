@@ -3,8 +3,10 @@
 Two zstandard dictionaries are built, one from good and one from bad labelled text. A text that
 compresses better with the good one resembles good text: the difference of both compressed sizes,
 divided by the text's bytes, is calibrated to a probability by logistic regression on labelled text
-that neither dictionary has seen. Texts are compressed in blocks, because within a long block zstd
-would copy from the text itself instead of from the dictionary.
+that neither dictionary has seen. Short texts are weak evidence, so the regression lets the length
+decide how far the difference may move a score from the share of good texts. Texts are compressed in
+blocks, because within a long block zstd would copy from the text itself instead of from the
+dictionary.
 """
 
 from __future__ import annotations
@@ -31,16 +33,17 @@ LEVEL = 3
 #: id, and at most so many blocks of each: 33 MB in all. Every document is scored whole.
 SAMPLE_DOCS = 2000
 SAMPLE_BLOCKS = 4
+#: A text of so many bytes counts as half the evidence of a very long one.
+HALF_BYTES = 200
 
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries (null where a class had no example), and the line from difference to log odds."""
+    """Dictionaries (null where a class had no example), and weights of the evidence."""
 
     good: bytes | None
     bad: bytes | None
-    intercept: float
-    slope: float
+    weights: tuple[float, float, float]
 
 
 def blocks_of(data: bytes) -> list[bytes]:
@@ -69,27 +72,38 @@ class Differences:
     def __init__(self, good: bytes, bad: bytes) -> None:
         self.good, self.bad = _compressor(good), _compressor(bad)
 
-    def of(self, blocks: list[bytes]) -> float:
+    def of(self, blocks: list[bytes]) -> tuple[float, int]:
+        """The difference, and the bytes it was measured on."""
         size = sum(map(len, blocks))
         if not size:
-            return 0.0
+            return 0.0, 0
         by_bad = sum(len(self.bad.compress(block)) for block in blocks)
         by_good = sum(len(self.good.compress(block)) for block in blocks)
-        return (by_bad - by_good) / size
-
-
-def calibrate(differences: list[float], labels: list[int]) -> tuple[float, float]:
-    """Logistic regression of the label on the difference, by Newton's method, slightly ridged."""
-    x = np.column_stack([np.ones(len(labels)), np.array(differences) * 10])
-    y = np.array(labels, dtype=np.float64)
-    w, ridge = np.zeros(2), np.diag([1e-6, 1e-2])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ w)
-        w = w + np.clip(step, -5, 5)
+        return (by_bad - by_good) / size, size
+
+
+def evidence(measured: list[tuple[float, int]]) -> np.ndarray:
+    """Columns of the regression: 1, the share of full evidence, and that share of the difference."""
+    found = np.array(measured, dtype=np.float64).reshape(-1, 2)
+    share = found[:, 1] / (found[:, 1] + HALF_BYTES)
+    return np.column_stack([np.ones(len(found)), share, 10 * share * found[:, 0]])
+
+
+def probabilities(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+
+
+def calibrate(x: np.ndarray, labels: np.ndarray, each: np.ndarray) -> tuple[float, float, float]:
+    """Logistic regression by Newton's method, slightly ridged; `each` is a row's weight."""
+    w, ridge = np.zeros(3), np.array([1e-6, 1e-2, 1e-2])
+    for _ in range(100):
+        p = probabilities(x, w)
+        slope = (x.T * (each * p * (1 - p))) @ x + np.diag(ridge) + np.eye(3) * 1e-9
+        step = np.linalg.solve(slope, x.T @ (each * (labels - p)) - ridge * w)
+        w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1] * 10)
+    return tuple(map(float, w))
 
 
 def held_out(id_col: str) -> F.Column:
@@ -98,30 +112,33 @@ def held_out(id_col: str) -> F.Column:
     return F.coalesce(fold == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str):
+def _known(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """One label per document of the folds that training may see, and the hash of its id."""
+    key, label = F.col(f"`{id_col}`"), F.col(f"`{label_col}`").cast("int")
+    seen = labels.where(~held_out(id_col) & key.isNotNull()).groupBy(key.alias("c0"))
+    return seen.agg(F.min(label).alias("label"), F.min(F.xxhash64(key)).alias("place")).where("label IN (0, 1)")
+
+
+def _sample(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> list[tuple[int, list[bytes]]]:
     """(label, blocks) of the sampled documents, in the order of their ids' hashes."""
-    known = labels.where(~held_out(id_col)).groupBy(F.col(f"`{id_col}`").alias("c0"))
-    known = known.agg(F.min(f"`{label_col}`").alias("label"), F.min(F.xxhash64(f"`{id_col}`")).alias("place"))
-    chosen = None
-    for label in (0, 1):
-        some = known.where((F.col("label") == label) & F.col("c0").isNotNull())
-        some = some.orderBy("place", "c0").limit(SAMPLE_DOCS)
-        chosen = some if chosen is None else chosen.unionByName(some)
+    bad, good = (
+        known.where(F.col("label") == label).orderBy("place", "c0").limit(SAMPLE_DOCS) for label in (0, 1)
+    )
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for text in batch.column("c1").to_pylist():
                 blocks = blocks_of((text or "").encode())
-                step = max(1, math.ceil(len(blocks) / SAMPLE_BLOCKS))
-                kept.append(blocks[::step])
+                kept.append(blocks[:: max(1, math.ceil(len(blocks) / SAMPLE_BLOCKS))])
             arrays = [batch.column("label"), batch.column("place"), pa.array(kept, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["label", "place", "blocks"])
 
     # At most 2 * SAMPLE_DOCS ids, so the small side is broadcast.
-    texts = pick(docs, id_col, text_col).join(F.broadcast(chosen), "c0").dropDuplicates(["c0"])
-    rows = texts.select("c1", "label", "place").mapInArrow(cut, "label INT, place BIGINT, blocks ARRAY<BINARY>")
-    found = [(int(r["label"]), r["place"], [bytes(b) for b in r["blocks"]]) for r in rows.collect()]
+    texts = pick(docs, id_col, text_col).join(F.broadcast(good.unionByName(bad)), "c0")
+    rows = texts.dropDuplicates(["c0"]).select("c1", "label", "place")
+    rows = rows.mapInArrow(cut, "label INT, place BIGINT, blocks ARRAY<BINARY>").collect()
+    found = [(int(r["label"]), r["place"], [bytes(b) for b in r["blocks"]]) for r in rows]
     return [(label, blocks) for label, _, blocks in sorted(found, key=lambda x: (x[1], x[2]))]
 
 
@@ -132,21 +149,29 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
 ) -> Model:
-    """Dictionaries from one half of the sample of each class, calibration on the other half."""
-    labels = labels.withColumn(label_col, F.col(label_col).cast("int"))
-    sample = _sample(docs, labels, id_col, text_col, label_col)
+    """Dictionaries from one half of the sample of each class, calibration on the other half.
+
+    Classes are sampled alike, so the calibration weights each by how many labels it has. Without
+    an example of both classes, every score is near the only label, or one half.
+    """
+    known = _known(labels, id_col, label_col)
+    totals = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     halves = {}
     for label in (0, 1):
-        own = [blocks for its, blocks in sample if its == label and blocks]
-        halves[label] = own[::2], own[1::2] or own
-    if not halves[0][0] or not halves[1][0]:
+        halves[label] = [], []
+    for label, blocks in _sample(docs, known, id_col, text_col):
+        own = halves[label]
+        own[len(own[0]) > len(own[1])].append(blocks)
+    if not all(any(map(len, halves[k][0])) for k in (0, 1)):
         only = [label for label in (0, 1) if halves[label][0]]
-        odds = {0: -4.0, 1: 4.0}[only[0]] if only else 0.0
-        return Model(None, None, odds, 0.0)
+        return Model(None, None, ({0: -4.0, 1: 4.0}[only[0]] if len(only) == 1 else 0.0, 0.0, 0.0))
     bad, good = (build_dictionary([b for blocks in halves[k][0] for b in blocks]) for k in (0, 1))
     difference = Differences(good, bad)
-    pairs = [(difference.of(blocks), label) for label in (0, 1) for blocks in halves[label][1]]
-    return Model(good, bad, *calibrate(*map(list, zip(*pairs))))
+    rest = {k: halves[k][1] or halves[k][0] for k in (0, 1)}
+    x = evidence([difference.of(blocks) for k in (0, 1) for blocks in rest[k]])
+    y = np.repeat([0.0, 1.0], [len(rest[0]), len(rest[1])])
+    each = np.repeat([totals[k] / len(rest[k]) for k in (0, 1)], [len(rest[0]), len(rest[1])])
+    return Model(good, bad, calibrate(x, y, each * len(y) / each.sum()))
 
 
 def scores(model: Model):
@@ -157,11 +182,10 @@ def scores(model: Model):
         difference = Differences(model.good, model.bad) if model.good is not None else None
         for series in batches:
             found = [
-                difference.of(blocks_of(text.encode())) if difference and text else 0.0
+                difference.of(blocks_of(text.encode())) if difference and text else (0.0, 0)
                 for text in series
             ]
-            odds = model.intercept + model.slope * np.array(found, dtype=np.float64)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+            yield pd.Series(probabilities(evidence(found), np.array(model.weights)))
 
     return score
 
@@ -175,7 +199,7 @@ def quality_scores(
 ) -> DataFrame:
     """`id_col`, held_out, score and predicted of every row's whole text.
 
-    Empty and null texts get the score of difference 0. Rows with equal ids stay separate, rows
+    Empty and null texts are no evidence and get the score of that. Rows with equal ids stay separate, rows
     without an id are not held out, other columns are ignored, an empty table gives no rows.
     """
     scored = pick(docs, id_col, text_col).withColumn("score", scores(model)("c1"))
