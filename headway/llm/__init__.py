@@ -1,5 +1,7 @@
 """Operators for preparing training text, each with one registered query."""
 
+from headway.llm.jaccard import op7_jaccard
+from headway.llm.lattice import op2_segmentations
 from headway.llm.nearest import op3_nearest
 from headway.llm.packing import op4_packing
 from headway.llm.quality_classifier import op5_quality_classifier
@@ -11,10 +13,12 @@ from headway.llm.warc import op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_segmentations": op2_segmentations,
     "op3_nearest": op3_nearest,
     "op4_packing": op4_packing,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_secrets": op6_secrets,
+    "op7_jaccard": op7_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
