@@ -13,11 +13,18 @@ from pyspark.sql import functions as F
 
 from headway.llm import jaccard, packing, quality_classifier, quality_rules, secrets
 from headway.llm.common import table
-from headway.plans.staging import new_path
+from headway.plans.staging import new_path, stage
+
+#: Lists of ids are broadcast up to this length, and joined by sorting beyond it.
+BROADCAST_IDS = 4_000_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.kept_by_rules(docs)
@@ -32,14 +39,19 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Documents without an id stay if their group has no other; rows that repeat the smallest id are
-    told apart by their text, then kept once.
+    Where several rows have one id, or none, ids can't tell them apart: they stay, once per text.
     """
-    found = jaccard.jaccard_components(docs, words=5, percent=80).where("n_shingles > 0")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    found = stage(jaccard.jaccard_components(docs, words=5, percent=80).drop("class"), "near_duplicates")
+    repeated = stage(found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL"), "repeated_ids")
+    repeated = repeated.select(F.col("doc_id").alias("repeated_id"))
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id"))
+    copies = copies.join(repeated, F.col("copy_id") == F.col("repeated_id"), "left_anti")
+    kept = docs.join(small(copies), F.col("doc_id") == F.col("copy_id"), "left_anti")
+    if repeated.isEmpty():
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    once = kept.join(small(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(small(repeated), same, "left_anti").unionByName(once)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +80,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, apply in STAGES:
         path = new_path(spark, f"pipeline_{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        apply(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
