@@ -28,6 +28,7 @@ from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +67,7 @@ def _one(seed: int, *places: int) -> float:
     """One number in (0, 1) that depends on the seed and all places."""
     value = np.array([seed], dtype=_U)
     for place in places[:-1]:
-        value = _mixed(value + _U(place) * _U(0xD1342543DE82EF95))
+        value = _mixed(value + np.array([place], dtype=_U) * _U(0xD1342543DE82EF95))
     return float(_uniform(value, np.array(places[-1:]))[0])
 
 
@@ -347,7 +348,7 @@ def sample_texts(
         for low, high, (_, end) in zip(bounds[:-1], bounds[1:], begin):
             if high > low and end >= 0:
                 stop[low] = end
-        count, edges = _walk(view, nodes[inst], stop, word_seeds[inst] + _U(n) * _U(0x9FB21C651E98DF25))
+        count, edges = _walk(view, nodes[inst], stop, _mixed(word_seeds[inst] + _U(n)))
         total = np.concatenate(([0], np.cumsum(count)))
         for i, a, b, (word, _), head in zip(which, bounds[:-1], bounds[1:], begin, kept):
             search = searches[i]
@@ -471,7 +472,7 @@ def decoded(rows: DataFrame, ids_col: str = "ids", model: str = "piece_bpe_32k.m
     """All columns, and the text of `ids_col` as `decoded`; null ids give a null text."""
 
     @F.pandas_udf("string")
-    def decode(batches):
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = pieces(vocabulary(model))
         for series in batches:
             yield series.map(lambda ids: None if ids is None else own.decode(ids.tolist()))
@@ -483,9 +484,7 @@ def op2_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the segmentations: the ids' CRC-32 and the length and CRC-32 of what they decode to."""
 
     @F.pandas_udf("ids_crc32 BIGINT, n_pieces BIGINT, text_bytes BIGINT, text_crc32 BIGINT")
-    def digest(batches):
-        import pandas as pd
-
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = pieces(vocabulary("piece_bpe_32k.model"))
         for series in batches:
             rows = []
