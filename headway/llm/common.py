@@ -40,10 +40,12 @@ def by_chars(texts: Iterable[str], limit: int = BATCH_CHARS) -> Iterator[list[st
         yield batch
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of Arrow batches whose `column` of texts holds a bounded number of characters."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches whose `column` of texts holds about `limit` characters."""
     for batch in batches:
         start = 0
-        for texts in by_chars(texts_of(batch.column(column))):
+        for texts in by_chars(texts_of(batch.column(column)), limit):
             yield batch.slice(start, len(texts))
             start += len(texts)

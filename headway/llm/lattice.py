@@ -23,7 +23,7 @@ import heapq
 import math
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -45,10 +45,14 @@ SHIFT = 2.7
 #: have to exceed its mean by as much, which has a chance below 1e-25.
 REACH = 60.0
 #: Word lattices kept per task, counted in nodes; the store begins anew beyond it.
-KEPT_NODES = 2_500_000
+KEPT_NODES = 1_000_000
 
 _WORD = re.compile("▁*[^▁]+|▁+")
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)  # of the hashes by which beginnings of pieces are found
+
+#: Texts handled together; the edges of their new words are built at once.
+LATTICE_CHARS = 1 << 19
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -107,7 +111,7 @@ class Pieces:
             codes = np.frombuffer("".join(found[n]).encode("utf-32-le"), np.uint32).reshape(-1, n)
             hashes = np.zeros(len(codes), dtype=_U)
             for i in range(n):
-                hashes = _mixed(hashes + codes[:, i].astype(_U) + _U(1))
+                hashes = hashes * _STEP + codes[:, i].astype(_U) + _U(1)
             order = np.argsort(hashes)
             tables.append((hashes[order], np.array(list(found[n].values()), dtype=np.int64)[order]))
         return tables
@@ -168,63 +172,65 @@ class Lattices:
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(_U)
         ends = np.cumsum(lengths)
         end_of = np.repeat(ends, lengths)
-        word_of = np.repeat(np.arange(len(words)), lengths)
+        word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         weight = np.array(self.model.weight)
 
         # Edges from each character: every piece that begins there. Node = character + word number.
         starts, sizes, numbers, weights = [], [], [], []
-        at, hashes = np.arange(len(codes)), np.zeros(len(codes), dtype=_U)
+        at, hashes = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), dtype=_U)
         for n, (known, piece) in enumerate(self.model.tables, 1):
             inside = at + n <= end_of[at]
             at, hashes = at[inside], hashes[inside]
             if not len(at):
                 break
-            hashes = _mixed(hashes + codes[at + n - 1] + _U(1))
+            hashes = hashes * _STEP + codes[at + (n - 1)] + _U(1)
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            begun = known[place] == hashes
+            begun = np.flatnonzero(known[place] == hashes)
             at, hashes, found = at[begun], hashes[begun], piece[place[begun]]
-            whole = found >= 0
+            whole = np.flatnonzero(found >= 0)
             if n == 1:
                 bare = np.ones(len(codes), dtype=bool)
                 bare[at[whole]] = False
-                odd = np.flatnonzero(bare)
+                odd = np.flatnonzero(bare).astype(np.int32)
                 extra = [self._extra(chr(int(c))) for c in codes[odd]]
                 starts.append(odd)
-                sizes.append(np.ones(len(odd), dtype=np.int64))
-                numbers.append(np.array([x for x, _ in extra], dtype=np.int64))
+                sizes.append(np.ones(len(odd), dtype=np.int32))
+                numbers.append(np.array([x for x, _ in extra], dtype=np.int32))
                 weights.append(np.array([w for _, w in extra], dtype=np.float64))
             starts.append(at[whole])
-            sizes.append(np.full(int(whole.sum()), n))
-            numbers.append(found[whole])
+            sizes.append(np.full(len(whole), n, dtype=np.int32))
+            numbers.append(found[whole].astype(np.int32))
             weights.append(weight[found[whole]])
         start, size = np.concatenate(starts), np.concatenate(sizes)
         number, logs = np.concatenate(numbers), np.concatenate(weights)
-        order = np.argsort(start + size + word_of[start], kind="stable")
-        start, size, number, logs = start[order], size[order], number[order], logs[order]
-        source = start + word_of[start]
-        target = source + size
+        word = word_of[start]
         nodes = len(codes) + len(words)
         first = np.concatenate(([0], ends[:-1])) + np.arange(len(words))
-        depth = target - first[word_of[start]]
+        back = (start + word - first[word]).astype(np.int32)
+        depth = back + size
+        # By place in the word, then node: one slice holds all edges into the nodes of one place.
+        order = np.argsort(depth.astype(np.int64) * nodes + first[word], kind="stable")
+        back, depth, number, logs = back[order], depth[order], number[order], logs[order]
+        source = back + first[word[order]]
+        target = source + (depth - back)
 
         total = np.zeros(nodes)
         chance = np.empty(len(target))
-        by_depth = np.argsort(depth, kind="stable")
-        levels = np.searchsorted(depth[by_depth], np.arange(1, int(lengths.max(initial=0)) + 2))
+        levels = np.searchsorted(depth, np.arange(1, int(lengths.max(initial=0)) + 2))
         for low, high in zip(levels[:-1], levels[1:]):
-            own = by_depth[low:high]
-            values = total[source[own]] + logs[own]
-            heads = np.flatnonzero(np.concatenate(([True], target[own][1:] != target[own][:-1])))
-            runs = np.diff(np.append(heads, len(own)))
+            values = total[source[low:high]] + logs[low:high]
+            into = target[low:high]
+            heads = np.flatnonzero(np.concatenate(([True], into[1:] != into[:-1])))
+            runs = np.diff(np.append(heads, high - low))
             top = np.maximum.reduceat(values, heads)
             raw = np.exp(values - np.repeat(top, runs))
             every = np.add.reduceat(raw, heads)
-            total[target[own][heads]] = top + np.log(every)
-            chance[own] = np.minimum(raw / np.repeat(every, runs), 1.0)
+            total[into[heads]] = top + np.log(every)
+            chance[low:high] = np.minimum(raw / np.repeat(every, runs), 1.0)
 
         # The likeliest edge of a node first, so that a draw seldom has to look further.
-        order = np.lexsort((number, -chance, target))
-        start, source, target, number, chance = (x[order] for x in (start, source, target, number, chance))
+        order = np.argsort(target + (1.0 - chance) * 0.5, kind="stable")
+        back, target, number, chance = back[order], target[order], number[order], chance[order]
         heads = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1])))
         runs = np.diff(np.append(heads, len(target)))
         done = np.cumsum(chance)
@@ -236,7 +242,7 @@ class Lattices:
         base, edges = len(self.edge_start) - 1, len(self.upto)
         self.edge_start.frombytes((edges + np.cumsum(np.bincount(target, minlength=nodes))).astype("q").tobytes())
         self.upto.frombytes(upto.tobytes())
-        self.back.frombytes((source - first[word_of[start]]).astype("i").tobytes())
+        self.back.frombytes(back.astype("i").tobytes())
         self.piece.frombytes(number.astype("i").tobytes())
         self.log.frombytes(log.tobytes())
         self.words.update(zip(words, range(len(self.length), len(self.length) + len(words))))
@@ -432,6 +438,40 @@ def _in_reading_order(chosen: np.ndarray, place: np.ndarray) -> np.ndarray:
     return chosen[mirror]
 
 
+Found = list[list[tuple[np.ndarray, float, float]]]
+
+
+def _sampled(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    model: str,
+    samples: int,
+    seed: int,
+    theta: float,
+    columns: str,
+    finish: Callable[[Pieces, Found], list[pa.Array]],
+) -> DataFrame:
+    """Sampled segmentations of every row; `finish` makes the `columns` of a batch of them."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = [id_col, "sample", *(part.split()[0] for part in columns.split(", ")), "log_prob", "log_inclusion"]
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pieces(vocabulary(model), theta)
+        lattices = Lattices(own)
+        for batch in slices(batches, "c1", LATTICE_CHARS):
+            keys = ["" if key is None else str(key) for key in batch.column("c0").to_pylist()]
+            found = sample_texts(texts_of(batch.column("c1")), keys, lattices, samples, seed)
+            which = pa.array([i for i, one in enumerate(found) for _ in one], pa.int64())
+            order = pa.array([n + 1 for one in found for n in range(len(one))], pa.int32())
+            arrays = [batch.column("c0").take(which), order, *finish(own, found)]
+            arrays += [pa.array([row[i] for one in found for row in one], pa.float64()) for i in (1, 2)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    schema = f"`{id_col}` {kind}, sample INT, {columns}, log_prob DOUBLE, log_inclusion DOUBLE"
+    return pick(docs, id_col, text_col).mapInArrow(draw, schema)
+
+
 def sampled_segmentations(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -449,23 +489,14 @@ def sampled_segmentations(
     without pieces. Rows with equal ids draw alike if their texts are equal; null ids share a seed;
     other columns are ignored; an empty table gives no rows.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
 
-    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(pieces(vocabulary(model), theta))
-        for batch in slices(batches, "c1"):
-            keys = ["" if key is None else str(key) for key in batch.column("c0").to_pylist()]
-            found = sample_texts(texts_of(batch.column("c1")), keys, lattices, samples, seed)
-            rows = [(i, n + 1, *one) for i, own in enumerate(found) for n, one in enumerate(own)]
-            which = pa.array([row[0] for row in rows], pa.int64())
-            arrays = [batch.column("c0").take(which), pa.array([row[1] for row in rows], pa.int32())]
-            arrays.append(pa.array([row[2].astype(np.int32) for row in rows], pa.list_(pa.int32())))
-            arrays += [pa.array([row[i] for row in rows], pa.float64()) for i in (3, 4)]
-            names = [id_col, "sample", "ids", "log_prob", "log_inclusion"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+    def lists(own: Pieces, found: Found) -> list[pa.Array]:
+        ids = [row[0] for one in found for row in one]
+        ends = np.cumsum([0] + [len(x) for x in ids])
+        flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
 
-    schema = f"`{id_col}` {kind}, sample INT, ids ARRAY<INT>, log_prob DOUBLE, log_inclusion DOUBLE"
-    return pick(docs, id_col, text_col).mapInArrow(draw, schema)
+    return _sampled(docs, id_col, text_col, model, samples, seed, theta, "ids ARRAY<INT>", lists)
 
 
 def decoded(rows: DataFrame, ids_col: str = "ids", model: str = "piece_bpe_32k.model") -> DataFrame:
@@ -483,17 +514,14 @@ def decoded(rows: DataFrame, ids_col: str = "ids", model: str = "piece_bpe_32k.m
 def op2_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the segmentations: the ids' CRC-32 and the length and CRC-32 of what they decode to."""
 
-    @F.pandas_udf("ids_crc32 BIGINT, n_pieces BIGINT, text_bytes BIGINT, text_crc32 BIGINT")
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = pieces(vocabulary("piece_bpe_32k.model"))
-        for series in batches:
-            rows = []
-            for ids in series:
-                text = own.decode(ids.tolist()).encode()
-                rows.append((crc32(np.asarray(ids, "<u4").tobytes()), len(ids), len(text), crc32(text)))
-            names = ["ids_crc32", "n_pieces", "text_bytes", "text_crc32"]
-            yield pd.DataFrame(rows, columns=names).astype(np.int64)
-
-    rows = sampled_segmentations(table(spark, sf_dir, "documents"))
-    found = rows.select("doc_id", "sample", digest("ids").alias("digest"), "log_prob", "log_inclusion")
-    return found.select("doc_id", "sample", "digest.*", "log_prob", "log_inclusion")
+    def digests(own: Pieces, found: Found) -> list[pa.Array]:
+        rows = []
+        for one in found:
+            for ids, _, _ in one:
+                data = own.decode(ids.tolist()).encode()
+                rows.append((crc32(ids.astype("<u4").tobytes()), len(ids), len(data), crc32(data)))
+        return [pa.array([row[i] for row in rows], pa.int64()) for i in range(4)]
+
+    columns = "ids_crc32 BIGINT, n_pieces BIGINT, text_bytes BIGINT, text_crc32 BIGINT"
+    docs = table(spark, sf_dir, "documents")
+    return _sampled(docs, "doc_id", "text", "piece_bpe_32k.model", SAMPLES, SEED, THETA, columns, digests)
