@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headway.catalog.registry import register
-from headway.catalog.sql import hashed, rounded, with_ctes
+from headway.catalog.sql import drawn, hashed, rounded, with_ctes
 from headway.functions.core import half_even
 from headway.operators import balance
 from headway.plans.warehouse import Warehouse
@@ -16,7 +16,6 @@ FEATURES = [
 ]
 
 _APART = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATURES)
-_DRAW = "(incident_id % 2147483648) * 1000 + copy"
 _SQL = {
     "sized": "SELECT is_delayed, count(*) AS n FROM trips GROUP BY is_delayed",
     "rare": "SELECT is_delayed AS label, n, (SELECT max(n) FROM sized) - n AS missing FROM sized ORDER BY n LIMIT 1",
@@ -31,7 +30,7 @@ _SQL = {
     "counted": f"SELECT *, n, missing, missing // n + CASE WHEN row_number() OVER (ORDER BY {hashed('incident_id', 42)}, incident_id) <= missing % n THEN 1 ELSE 0 END AS copies "
     "FROM matched CROSS JOIN rare",
     "drawn": "SELECT *, unnest(generate_series(1, CAST(copies AS BIGINT))) AS copy FROM counted",
-    "chosen": f"SELECT * EXCLUDE (near), near[1 + ({hashed(_DRAW, 43)}) % len(near)].id AS neighbour, ({hashed(_DRAW, 44)}) / 4294967296e0 AS gap FROM drawn",
+    "chosen": f"SELECT * EXCLUDE (near), near[1 + ({drawn('incident_id', 'copy', 43)}) % len(near)].id AS neighbour, ({drawn('incident_id', 'copy', 44)}) / 4294967296e0 AS gap FROM drawn",
 }
 
 

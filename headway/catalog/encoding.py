@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.catalog.registry import register
-from headway.catalog.sql import hashed, rounded, text, with_ctes
+from headway.catalog.sql import hashed, rounded, with_ctes
 from headway.functions.core import half_even, of_type
-from headway.functions.weather import RAIN_LABELS
 from headway.operators import encode, metrics, sampling, scenario
 from headway.plans.warehouse import Warehouse
 
@@ -36,24 +35,20 @@ def topk_other(w: Warehouse):
     "one_hot",
     with_ctes(
         " UNION ALL ".join(
-            f"SELECT concat('{c}_', {c}) AS feature, count(*) AS ones FROM capped WHERE {c} IS NOT NULL GROUP BY {c}"
+            f"SELECT incident_id, concat('{c}_', {c}) AS feature FROM capped WHERE {c} IS NOT NULL"
             for c in encode.CATEGORIES
-            if c != "rain_category"
-        )
-        + f" UNION ALL SELECT concat('rain_category_', level), count(rain_category) FROM (SELECT unnest([{', '.join(map(text, RAIN_LABELS))}]) AS level) AS levels "
-        "LEFT JOIN capped ON rain_category = level GROUP BY level",
+        ),
         _CAPPED,
     ),
 )
 def one_hot(w: Warehouse):
-    """The 0/1 columns depend on the data, so the query reports the ones in each."""
-    rows = encode.cap_levels(w.featured).select(*encode.CATEGORIES)
-    encoded = encode.one_hot(rows)
-    sums = [
-        F.struct(F.lit(c).alias("feature"), F.sum(F.col(f"`{c}`")).alias("ones"))
-        for c in encoded.columns
-    ]
-    return encoded.agg(F.array(*sums).alias("sums")).select(F.inline("sums"))
+    """The 0/1 columns depend on the data, so the query lists the ones of every row."""
+    rows = w.featured.select("incident_id", *encode.CATEGORIES)
+    kept, levels = encode.encoding_levels(rows)
+    encoded = encode.one_hot(encode.cap_levels(rows, kept=kept), levels=levels)
+    names = [c for c in encoded.columns if c != "incident_id"]
+    ones = F.array_compact(F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in names]))
+    return encoded.select("incident_id", F.explode(ones).alias("feature"))
 
 
 @register(

@@ -45,13 +45,17 @@ def _regression(w: Warehouse) -> models.Comparison:
     )
 
 
+@cache
+def _balanced(w: Warehouse) -> DataFrame:
+    train, _ = _classification_split(w)
+    return metrics.with_class_weights(models.oversample(train, COMPACT, KEY), "label")
+
+
 @cache
 def _classification(w: Warehouse) -> models.Comparison:
-    train, test = _classification_split(w)
-    balanced = models.oversample(train, COMPACT, KEY)
-    weighted = metrics.with_class_weights(balanced, "label")
+    _, test = _classification_split(w)
     return models.compare(
-        weighted, test, COMPACT, KEY, "classification", models.classifiers(SMALL), folds=None
+        _balanced(w), test, COMPACT, KEY, "classification", models.classifiers(SMALL), folds=None
     )
 
 
@@ -66,41 +70,66 @@ def train_classification(w: Warehouse):
     return _classification(w).results
 
 
-@register("cv_scores")
-def cv_scores(w: Warehouse):
-    """Five-fold scores of one model per task."""
+@cache
+def _cross_validated(w: Warehouse) -> list[tuple[str, str, float, float]]:
+    """Five-fold scores of every model: (task, model, mean, deviation).
+
+    Classifiers see the oversampled rows, whose copies share the fold of the row they come from.
+    """
+    rows = []
     train, _ = _regression_split(w)
     vectors = models.training_vectors(train, encode.feature_names(train))
-    rows = []
-    for name in ("Linear Regression", "Decision Tree"):
-        model = models.regressors(SMALL)[name]
-        scores = models.cross_validate(model, vectors, KEY, "regression")
-        rows.append(("regression", name, *scores))
-    labelled, _ = _classification_split(w)
-    vectors = models.training_vectors(metrics.with_class_weights(labelled, "label"), COMPACT)
-    model = models.classifiers(SMALL)["Logistic Regression"]
-    scores = models.cross_validate(model, vectors, KEY, "classification")
-    rows.append(("classification", "Logistic Regression", *scores))
-    rows = [(task, name, float(mean), float(deviation)) for task, name, mean, deviation in rows]
+    for name, model in models.regressors(SMALL).items():
+        rows.append(("regression", name, *models.cross_validate(model, vectors, KEY, "regression")))
+    vectors = models.training_vectors(_balanced(w), COMPACT)
+    for name, model in models.classifiers(SMALL).items():
+        rows.append(("classification", name, *models.cross_validate(model, vectors, KEY, "classification")))
+    return rows
+
+
+@register("cv_scores")
+def cv_scores(w: Warehouse):
     schema = "task STRING, model STRING, cv_mean DOUBLE, cv_std DOUBLE"
-    return w.trips.sparkSession.createDataFrame(rows, schema)
+    return w.trips.sparkSession.createDataFrame(_cross_validated(w), schema)
+
+
+def _board(w: Warehouse, found: models.Comparison, score: str) -> DataFrame:
+    cv = [(name, mean, std) for task, name, mean, std in _cross_validated(w) if task == found.task]
+    schema = f"model STRING, cv_{score}_mean DOUBLE, cv_{score}_std DOUBLE"
+    scores = w.trips.sparkSession.createDataFrame(cv, schema)
+    return models.leaderboard(found.results.join(scores, "model"), found.task)
 
 
 @register("leaderboard")
 def leaderboard(w: Warehouse):
-    found = _regression(w)
-    return models.leaderboard(found.results, found.task)
+    return _board(w, _regression(w), "r2")
+
+
+@register("classification_leaderboard")
+def classification_leaderboard(w: Warehouse):
+    return _board(w, _classification(w), "f1")
+
+
+@register("best_model_report")
+def best_model_report(w: Warehouse):
+    """Scores per class of the best trained classifier on untouched rows."""
+    _, test = _classification_split(w)
+    scored = _classification(w).best.transform(test)
+    return metrics.classification_report(scored, "label", "prediction")
 
 
 @register("feature_importance")
 def feature_importance(w: Warehouse):
-    """The fifteen most important features of the forest."""
-    found = _regression(w)
-    table = models.importances(w.trips.sparkSession, found.fitted["Random Forest"], found.features)
-    return models.top_importances(table)
+    """The fifteen features that count most in the best model of each task."""
+    parts = []
+    for found in (_regression(w), _classification(w)):
+        table = models.importances(w.trips.sparkSession, found.best, found.features)
+        top = models.top_importances(table)
+        parts.append(top.select(F.lit(found.task).alias("task"), F.lit(found.best_name).alias("model"), "feature", "importance"))
+    return parts[0].unionByName(parts[1])
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", with_ctes("SELECT count(*) AS records, CAST(0 AS BIGINT) AS changed FROM trips"))
 def model_roundtrip(w: Warehouse):
     """Predictions of the best model before and after saving and loading it."""
     found = _regression(w)
@@ -132,29 +161,42 @@ _LINE = ["hour", "passenger_count"]
 def shapley_linear(w: Warehouse):
     """Every trip's exact attribution under a two-feature linear model."""
     rows = w.trips.select(KEY, *_LINE, F.col("delay_minutes").alias("label"))
-    fitted = models.assembled(LinearRegression(solver="normal"), _LINE).fit(rows)
+    fitted = models.assembled(LinearRegression(solver="auto"), _LINE).fit(rows)
     weights = list(fitted.stages[-1].coefficients)
     values = explain.linear_attribution(rows, KEY, _LINE, weights, rows)
     return values.withColumn("value", half_even(F.col("value"), 6))
 
 
-def _sampled(w: Warehouse) -> DataFrame:
-    found = _regression(w)
+#: Explained rows of the registered queries; the background is the whole training part.
+EXPLAINED = 500
+
+
+def _groups(features: list[str]) -> dict[str, list[str]]:
+    """One-hot columns of one category belong together."""
     groups: dict[str, list[str]] = {}
-    for c in found.features:
+    for c in features:
         logical = next((k for k in encode.CATEGORIES if c.startswith(f"{k}_")), c)
         groups.setdefault(logical, []).append(c)
-    train, test = _regression_split(w)
-    return explain.sampled_attribution(
-        found.fitted["Random Forest"], test, KEY, groups, train, permutations=2
-    )
+    return groups
+
+
+def _explained(found: models.Comparison, train: DataFrame, test: DataFrame) -> DataFrame:
+    rows = sampling.sample_rows(test, KEY, EXPLAINED)
+    groups = _groups(found.features)
+    return explain.sampled_attribution(found.best, rows, KEY, groups, train, permutations=4)
 
 
 @register("shapley_sampled")
 def shapley_sampled(w: Warehouse):
-    return _sampled(w)
+    return _explained(_regression(w), *_regression_split(w))
 
 
 @register("shapley_summary")
 def shapley_summary(w: Warehouse):
-    return explain.attribution_summary(_sampled(w))
+    return explain.attribution_summary(_explained(_regression(w), *_regression_split(w)))
+
+
+@register("shapley_classifier")
+def shapley_classifier(w: Warehouse):
+    """Attributions of the best classifier's probability of a delay."""
+    return explain.attribution_summary(_explained(_classification(w), *_classification_split(w)))

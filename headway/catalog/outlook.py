@@ -80,6 +80,31 @@ def forecast_summary(w: Warehouse):
     return scenario.forecast_summary(_naive(w))
 
 
+NETWORK = {
+    "means": "SELECT date, avg(delay_minutes) AS value FROM trips GROUP BY date",
+    "spans": "SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM means",
+    "sparse": "SELECT spans.date, value FROM spans LEFT JOIN means ON spans.date = means.date",
+    "filled": f"SELECT date, {along_calendar('value', 'date')} AS value FROM sparse",
+    "naive": "SELECT date + 7 AS date, value AS delay FROM filled QUALIFY row_number() OVER (ORDER BY date DESC) <= 7",
+    "outlook": "SELECT date, value AS delay, 'Historical' AS type FROM filled UNION ALL SELECT date, delay, 'Forecast' FROM naive",
+}
+
+
+@register("network_outlook", with_ctes("SELECT date, delay, type FROM outlook", NETWORK))
+def network_outlook(w: Warehouse):
+    """The daily series of the whole network with its last week repeated."""
+    daily = w.network_days
+    return series.with_history(daily, series.seasonal_naive(daily)).select("date", "delay", "type")
+
+
+@register("network_forecast")
+def network_forecast(w: Warehouse):
+    """The fitted forecast of the whole network, re-anchored to a given day."""
+    daily = w.network_days
+    steps = series.forecast_steps(series.fit_holt_winters(daily))
+    return series.reanchor(series.with_history(daily, steps), AS_OF)
+
+
 @register("hw_grid_fit")
 def hw_grid_fit(w: Warehouse):
     """Weights, squared error and next week of every borough's series."""

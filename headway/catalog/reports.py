@@ -99,11 +99,7 @@ def category_counts(w: Warehouse):
 )
 def top_reasons(w: Warehouse):
     """The given reasons have fewer than eight values, so run types are reported too."""
-    parts = [
-        stats.top_values(w.trips, c).select(F.lit(c).alias("field"), F.col(c).alias("value"), "records")
-        for c in ("delay_reason", "run_type")
-    ]
-    return parts[0].union(parts[1])
+    return stats.top_values(w.trips, ["delay_reason", "run_type"])
 
 
 @register(
@@ -114,12 +110,49 @@ def top_reasons(w: Warehouse):
     ),
 )
 def filter_options(w: Warehouse):
-    fields = ("borough", "weather_condition")
-    parts = [
-        stats.distinct_values(w.featured, c).select(F.lit(c).alias("field"), F.col(c).alias("value"))
-        for c in fields
-    ]
-    return parts[0].union(parts[1]).orderBy("field", "value")
+    return stats.distinct_values(w.featured, ["borough", "weather_condition"]).orderBy("field", "value")
+
+
+_FILTERED = {
+    "chosen": "SELECT * FROM featured WHERE date BETWEEN DATE '1996-03-15' AND DATE '1998-02-10' AND is_weekend = 0 "
+    "AND borough IN ('NATION_1', 'NATION_3', 'NATION_7', 'NATION_12') AND weather_condition IN ('Snow', 'Rain', 'Clear')"
+}
+
+
+@register(
+    "filter_kpi",
+    with_ctes(
+        "SELECT count(*) AS total_records, avg(delay_minutes) AS avg_delay, sum(is_delayed) * 100 / count(*) AS delayed_percent, "
+        "CAST(count(*) FILTER (weather_severity >= 3) AS BIGINT) AS bad_weather_records, CAST(sum(has_event) AS BIGINT) AS event_records, "
+        "count(DISTINCT CASE WHEN weather_severity >= 3 THEN date END) AS bad_weather_days, "
+        "count(DISTINCT CASE WHEN has_event = 1 THEN date END) AS event_days FROM chosen",
+        _FILTERED,
+    ),
+)
+def filter_kpi(w: Warehouse):
+    """The headline row of the filtered incidents."""
+    return stats.overview(stats.select_rows(w.featured_by_month, **_FILTER))
+
+
+@register(
+    "filter_trend",
+    with_ctes("SELECT date, avg(delay_minutes) AS avg_delay_minutes FROM chosen GROUP BY date", _FILTERED),
+)
+def filter_trend(w: Warehouse):
+    return stats.average_by(stats.select_rows(w.featured_by_month, **_FILTER), "date", "delay_minutes")
+
+
+@register(
+    "filter_top_reasons",
+    with_ctes(
+        "SELECT * FROM (SELECT 'delay_reason' AS field, delay_reason AS value, count(*) AS records FROM chosen GROUP BY delay_reason ORDER BY records DESC, value LIMIT 8) AS a "
+        "UNION ALL SELECT * FROM (SELECT 'run_type', run_type, count(*) AS records FROM chosen GROUP BY run_type ORDER BY records DESC, run_type LIMIT 8) AS b",
+        _FILTERED,
+    ),
+)
+def filter_top_reasons(w: Warehouse):
+    chosen = stats.select_rows(w.featured_by_month, **_FILTER)
+    return stats.top_values(chosen, ["delay_reason", "run_type"])
 
 
 @register(
@@ -144,6 +177,25 @@ def event_compare(w: Warehouse):
     return stats.labelled_summary(w.featured, "has_event", {0: "No Event", 1: "Event Day"})
 
 
+def _compare_sql(table: str, by: str, zero: str, one: str, y: str) -> str:
+    return with_ctes(
+        f"SELECT CASE {by} WHEN 0 THEN {text(zero)} ELSE {text(one)} END AS {by}, avg({y}) AS mean, "
+        f"median({y}) AS median, count(*) AS records FROM {table} GROUP BY ALL"
+    )
+
+
+@register("rush_passengers", _compare_sql("trips", "is_rush_hour", "Non-Rush Hour", "Rush Hour", "passenger_count"))
+def rush_passengers(w: Warehouse):
+    labels = {0: "Non-Rush Hour", 1: "Rush Hour"}
+    return stats.labelled_summary(w.trips, "is_rush_hour", labels, "passenger_count")
+
+
+@register("event_passengers", _compare_sql("merged", "has_event", "No Event", "Event Day", "passenger_count"))
+def event_passengers(w: Warehouse):
+    labels = {0: "No Event", 1: "Event Day"}
+    return stats.labelled_summary(w.featured, "has_event", labels, "passenger_count")
+
+
 @register("delay_summary", with_ctes("SELECT avg(delay_minutes) AS mean, median(delay_minutes) AS median, count(*) AS records FROM trips"))
 def delay_summary(w: Warehouse):
     return stats.summary(w.trips)
@@ -178,7 +230,12 @@ def box_by_severity(w: Warehouse):
 @register("box_custom", _box_sql("season", True, "weather_severity_index", "featured"))
 def box_custom(w: Warehouse):
     """A box plot of a freely chosen measure, whose number of values is not known."""
-    return stats.box_stats(w.featured, "season", "weather_severity_index", few_values=False)
+    return stats.box_stats(w.featured, "season", "weather_severity_index")
+
+
+@register("box_passengers", _box_sql("weather_condition", True, "passenger_count"))
+def box_passengers(w: Warehouse):
+    return stats.box_stats(w.featured, "weather_condition", "passenger_count")
 
 
 _CORR = stats.CORRELATION_COLUMNS
@@ -228,43 +285,54 @@ def _line_sql(x: str) -> str:
 def ols_trend(w: Warehouse):
     """One line per weather condition, over rain and over temperature."""
     known = w.featured.where(F.col("weather_condition").isNotNull())
-    lines = stats.trend_lines(known, "precipitation_mm").union(
-        stats.trend_lines(known, "temperature_mean_c")
-    )
+    lines = stats.trend_lines(known, ["precipitation_mm", "temperature_mean_c"])
     return lines.withColumns({c: half_even(F.col(c), 6) for c in ("slope", "intercept", "r2")})
 
 
-@register(
-    "delay_histogram",
-    with_ctes(
+def _histogram_sql(y: str) -> str:
+    return with_ctes(
         "SELECT CAST(bin AS INTEGER) AS bin, low + bin * width AS bin_start, low + (bin + 1) * width AS bin_end, "
-        "(SELECT count(*) FROM trips WHERE least(CAST(floor((delay_minutes - low) / width) AS INTEGER), 49) = bin) AS records "
+        f"(SELECT count(*) FROM trips WHERE least(CAST(floor(({y} - low) / width) AS INTEGER), 49) = bin) AS records "
         "FROM span, range(50) AS r(bin)",
-        {"span": "SELECT min(delay_minutes) AS low, (max(delay_minutes) - min(delay_minutes)) / 50 AS width FROM trips"},
-    ),
-)
+        {"span": f"SELECT min({y}) AS low, (max({y}) - min({y})) / 50 AS width FROM trips"},
+    )
+
+
+@register("delay_histogram", _histogram_sql("delay_minutes"))
 def delay_histogram(w: Warehouse):
     return stats.histogram(w.trips)
 
 
-@register(
-    "delay_kde",
-    with_ctes(
+@register("passenger_histogram", _histogram_sql("passenger_count"))
+def passenger_histogram(w: Warehouse):
+    return stats.histogram(w.trips, "passenger_count")
+
+
+def _density_sql(y: str) -> str:
+    return with_ctes(
         f"SELECT CAST(point AS INTEGER) AS point, {rounded('x', 6)} AS x, "
-        f"{rounded('sum(exp(-0.5e0 * ((x - delay_minutes) / width) * ((x - delay_minutes) / width)) * n) / any_value(total * width * sqrt(2 * pi()))', 6)} AS density "
+        f"{rounded(f'sum(exp(-0.5e0 * ((x - {y}) / width) * ((x - {y}) / width)) * n) / any_value(total * width * sqrt(2 * pi()))', 6)} AS density "
         "FROM (SELECT *, low + point * (high - low) / 199 AS x FROM facts CROSS JOIN counted CROSS JOIN range(200) AS r(point)) AS g GROUP BY point, x",
         {
-            "counted": "SELECT delay_minutes, count(*) AS n FROM trips GROUP BY delay_minutes",
-            "facts": "SELECT min(delay_minutes) AS low, max(delay_minutes) AS high, count(*) AS total, "
-            "stddev_samp(delay_minutes) * pow(count(*), -0.2e0) AS width FROM trips",
+            "counted": f"SELECT {y}, count(*) AS n FROM trips GROUP BY {y}",
+            "facts": f"SELECT min({y}) AS low, max({y}) AS high, count(*) AS total, "
+            f"stddev_samp({y}) * pow(count(*), -0.2e0) AS width FROM trips",
         },
-    ),
-)
+    )
+
+
+@register("delay_kde", _density_sql("delay_minutes"))
 def delay_kde(w: Warehouse):
     curve = stats.density(w.trips)
     return curve.withColumns({c: half_even(F.col(c), 6) for c in ("x", "density")})
 
 
+@register("passenger_kde", _density_sql("passenger_count"))
+def passenger_kde(w: Warehouse):
+    curve = stats.density(w.trips, "passenger_count")
+    return curve.withColumns({c: half_even(F.col(c), 6) for c in ("x", "density")})
+
+
 @register(
     "welch_ttest",
     with_ctes(

@@ -22,7 +22,14 @@ def finite(value: str) -> str:
 
 
 def hashed(key: str, seed: int) -> str:
-    return f"((({key}) % 2147483648) * {hash_multiplier(seed)} + {seed}) % 4294967296"
+    low, high = f"(({key}) & 2147483647)", f"((({key}) >> 31) % 2147483647)"
+    mixed = f"({low} * {hash_multiplier(seed)}) % 4294967296"
+    more = f"({high} * {hash_multiplier(seed + 1)}) % 4294967296"
+    return f"({mixed} + {more} + {seed}) % 4294967296"
+
+
+def drawn(key: str, copy: str, seed: int) -> str:
+    return hashed(f"{hashed(key, seed)} + CAST({copy} AS BIGINT) * 4294967296", seed + 100)
 
 
 def text(value: str) -> str:

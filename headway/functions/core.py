@@ -50,9 +50,9 @@ def trimmed(value: Column, default: str = "Unknown") -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """Text or number to int; unparseable or missing becomes 0 ('3.0' counts as 3)."""
+    """Text or number to int; unparseable, missing or beyond an int becomes 0 ('3.0' counts as 3)."""
     parsed = nan_to_null(value.try_cast("double"))
-    return F.coalesce(parsed.cast("int"), F.lit(0))
+    return F.coalesce(parsed.try_cast("int"), F.lit(0))
 
 
 def hash_multiplier(seed: int) -> int:
@@ -63,10 +63,18 @@ def hash_multiplier(seed: int) -> int:
 def portable_hash(key: Column, seed: int) -> Column:
     """Multiplicative hash in [0, 2**32), the same in any SQL engine with 64-bit integers.
 
-    The product stays below 2**63, so ANSI mode cannot overflow.
+    Both halves of the key count, and products stay below 2**63, so ANSI mode cannot overflow.
     """
-    low = F.pmod(key.cast("bigint"), F.lit(2147483648))
-    return (low * F.lit(hash_multiplier(seed)) + F.lit(seed)) % F.lit(HASH_RANGE)
+    wide = key.cast("bigint")
+    low, high = wide.bitwiseAND(F.lit(2147483647)), F.shiftrightunsigned(wide, 31)
+    mixed = low * F.lit(hash_multiplier(seed)) % F.lit(HASH_RANGE)
+    more = high % F.lit(2147483647) * F.lit(hash_multiplier(seed + 1)) % F.lit(HASH_RANGE)
+    return (mixed + more + F.lit(seed)) % F.lit(HASH_RANGE)
+
+
+def draw_of(key: Column, copy: Column, seed: int) -> Column:
+    """Hash in [0, 2**32) of a key and the number of one of its copies, however many there are."""
+    return portable_hash(portable_hash(key, seed) + copy * F.lit(HASH_RANGE), seed + 100)
 
 
 def of_type(schema: T.StructType, *kinds: type) -> list[str]:

@@ -11,6 +11,7 @@ from headway.functions import calendar, delay, events, weather
 from headway.functions.core import flag, keep_null, nan_to_null, of_type, trimmed, whole_number
 from headway.sources.schemas import TRIP_RENAMES
 
+# The columns of a clean incident, in order.
 TRIP_COLUMNS = [
     "date", "hour", "incident_id", "route_id", "run_type", "borough", "bus_company",
     "delay_reason", "delay_description", "delay_minutes", "is_delayed", "delay_category",
@@ -18,6 +19,7 @@ TRIP_COLUMNS = [
     "service_type",
 ]
 
+# What a day without events gets.
 EVENT_FILL = {
     "has_event": 0,
     "event_count": 0,
@@ -35,8 +37,14 @@ def keep(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def rename_trip_fields(df: DataFrame) -> DataFrame:
-    """Landed field names to ours; fields that are absent are ignored."""
-    return df.withColumnsRenamed({old: new for old, new in TRIP_RENAMES.items() if old in df.columns})
+    """Landed field names to ours; fields that are absent are ignored.
+
+    Where several landed fields mean the same column, the first that is not null counts.
+    """
+    sources: dict[str, list[str]] = {}
+    for name in df.columns:
+        sources.setdefault(TRIP_RENAMES.get(name, name), []).append(name)
+    return df.select(*[F.coalesce(*(F.col(f"`{c}`") for c in old)).alias(new) for new, old in sources.items()])
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -147,7 +155,7 @@ def clean_events(df: DataFrame) -> DataFrame:
             "impact_level": F.initcap(F.trim("impact_level")),
             "event_type": F.trim("event_type"),
             "expected_attendance": F.coalesce(
-                nan_to_null(F.col("expected_attendance").try_cast("double")).cast("bigint"),
+                nan_to_null(F.col("expected_attendance").try_cast("double")).try_cast("bigint"),
                 F.lit(0).cast("bigint"),
             ),
         }

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from headway.functions.core import flag, nan_to_null, of_type
 from headway.functions.weather import RAIN_LABELS
-from headway.operators.stats import top_values
 from headway.plans.staging import stage
 
 # The encoded columns, and those among them that are capped at their top levels.
@@ -33,47 +32,106 @@ CLASSIFICATION_TARGET = "is_delayed"
 DECLARED_LEVELS = {"rain_category": RAIN_LABELS}
 
 
-def cap_levels(df: DataFrame, columns: list[str] = CAPPED, n: int = TOP_LEVELS) -> DataFrame:
-    """All but the `n` most frequent levels become "Other", and so does null.
+def top_levels(df: DataFrame, columns: list[str], n: int = TOP_LEVELS) -> dict[str, list[str]]:
+    """The `n` most frequent levels of each column, ties by value: one scan counts all columns."""
+    if not columns:
+        return {}
+    cells = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("level")) for c in columns]
+    counts = df.select(F.inline(F.array(*cells))).where("level IS NOT NULL")
+    counts = counts.groupBy("name", "level").agg(F.count("*").alias("records"))
+    rank = F.row_number().over(W.partitionBy("name").orderBy(F.desc("records"), "level"))
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counts.withColumn("rank", rank).where(F.col("rank") <= n).orderBy("name", "rank").collect():
+        found[row["name"]].append(row["level"])
+    return found
 
-    The kept levels reach the rows as one scalar subquery of at most `n` strings per column.
-    """
-    capped = {}
-    for c in columns:
-        if c in df.columns:
-            top = top_values(df, c, n).agg(F.collect_list(c)).scalar()
-            is_top = F.coalesce(F.array_contains(top, F.col(c)), F.lit(False))
-            capped[c] = F.when(is_top, F.col(c)).otherwise(F.lit(OTHER))
+
+def cap_levels(
+    df: DataFrame,
+    columns: list[str] = CAPPED,
+    n: int = TOP_LEVELS,
+    kept: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """All but the `kept` levels (else the `n` most frequent) become "Other", and so does null."""
+    columns = [c for c in columns if c in df.columns]
+    kept = kept if kept is not None else top_levels(df, columns, n)
+    capped = {
+        c: F.when(F.col(f"`{c}`").isin(kept[c]), F.col(f"`{c}`")).otherwise(F.lit(OTHER)) if kept[c] else F.lit(OTHER)
+        for c in columns
+    }
     return df.withColumns(capped)
 
 
 def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted levels per column; the columns of the encoded schema have to be known when planning.
 
-    One scan finds the levels of all columns. Like `pivot`, refuses columns with more levels than
-    `spark.sql.pivotMaxValues`.
+    One scan finds the levels of all columns, except of those declared in advance. Every level
+    becomes a column, so an uncapped column with very many levels gives as many columns.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     found = {c: list(DECLARED_LEVELS.get(c, [])) for c in columns}
     open_ended = [c for c in columns if c not in DECLARED_LEVELS]
     if open_ended:
-        cells = [F.struct(F.lit(c).alias("name"), F.col(c).alias("level")) for c in open_ended]
+        cells = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("level")) for c in open_ended]
         pairs = df.select(F.inline(F.array(*cells))).where("level IS NOT NULL").distinct()
-        for name, level in pairs.limit(limit + 1).collect():
+        for name, level in pairs.collect():
             found[name].append(level)
-        if sum(map(len, found.values())) > limit:
-            raise ValueError(f"more than {limit} levels in {open_ended}; cap them first")
         found |= {c: sorted(found[c]) for c in open_ended}
     return found
 
 
+def encoding_levels(
+    df: DataFrame, columns: list[str] = CATEGORIES, capped: list[str] = CAPPED, n: int = TOP_LEVELS
+) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+    """What `cap_levels` keeps and `one_hot` encodes, from one scan that counts every level.
+
+    A capped column has its kept levels and, if rows are left for it, "Other".
+    """
+    columns = [c for c in columns if c in df.columns]
+    open_ended = [c for c in columns if c not in DECLARED_LEVELS]
+    cells = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("level")) for c in open_ended]
+    counts = df.select(F.inline(F.array(*cells))).groupBy("name", "level").agg(F.count("*").alias("records"))
+    order = W.partitionBy("name").orderBy(F.col("level").isNull(), F.desc("records"), "level")
+    ranked = counts.withColumn("rank", F.row_number().over(order))
+    # Of a capped column only one row beyond the kept ones matters: it says that there are others.
+    few = ranked.where((~F.col("name").isin(capped)) | (F.col("rank") <= n + 1) | F.col("level").isNull())
+    kept: dict[str, list[str]] = {c: [] for c in columns if c in capped}
+    levels = {c: list(DECLARED_LEVELS.get(c, [])) for c in columns}
+    more = set()
+    for row in few.orderBy("name", "rank").collect():
+        name, level = row["name"], row["level"]
+        if name in kept and (level is None or len(kept[name]) == n):
+            more.add(name)
+        elif level is not None:
+            (kept if name in kept else levels)[name].append(level)
+    for c in open_ended:
+        found = {*kept[c], OTHER} if c in more else kept.get(c, levels[c])
+        levels[c] = sorted(found)
+    return kept, levels
+
+
+def dummy_names(columns: list[str], levels: dict[str, list[str]]) -> list[tuple[str, str, str]]:
+    """(name, column, level) of every 0/1 column.
+
+    Names are `{column}_{level}`; signs that column references can't hold (dots, back-ticks) become
+    underscores, and a name that is taken gets a number.
+    """
+    named, taken = [], set()
+    for c in columns:
+        for level in levels[c]:
+            base = f"{c}_{level}".replace(".", "_").replace("`", "_")
+            name, number = base, 2
+            while name in taken:
+                name, number = f"{base}_{number}", number + 1
+            taken.add(name)
+            named.append((name, c, level))
+    return named
+
+
 def one_hot(df: DataFrame, columns: list[str] = CATEGORIES, levels: dict | None = None) -> DataFrame:
-    """Replace each column by one 0/1 column per level, named `{column}_{level}`; null is all 0."""
+    """Replace each column by one 0/1 column per level (see `dummy_names`); null is all 0."""
     columns = [c for c in columns if c in df.columns]
     levels = levels if levels is not None else levels_of(df, columns)
-    dummies = [
-        flag(F.col(c) == level).alias(f"{c}_{level}") for c in columns for level in levels[c]
-    ]
+    dummies = [flag(F.col(f"`{c}`") == level).alias(name) for name, c, level in dummy_names(columns, levels)]
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in columns], *dummies)
 
 
@@ -109,7 +167,8 @@ def encode(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     if "route_id" in df.columns:
         codes = codes if codes is not None else label_codes(df, "route_id")
         df = label_encode(df, "route_id", codes)
-    return one_hot(cap_levels(df))
+    kept, levels = encoding_levels(df)
+    return one_hot(cap_levels(df, kept=kept), levels=levels)
 
 
 def model_matrix(df: DataFrame, task: str, keys: list[str] = ["incident_id"]) -> DataFrame:

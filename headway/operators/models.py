@@ -49,7 +49,7 @@ class Size:
 def regressors(size: Size = Size()) -> dict[str, Estimator]:
     tree = {"maxDepth": size.tree_depth, "seed": size.seed}
     return {
-        "Linear Regression": LinearRegression(solver="normal"),
+        "Linear Regression": LinearRegression(solver="auto"),
         "Decision Tree": DecisionTreeRegressor(**tree),
         "Random Forest": RandomForestRegressor(numTrees=size.trees, **tree),
         "Gradient Boosting": GBTRegressor(
@@ -176,9 +176,11 @@ def leaderboard(results: DataFrame, task: str) -> DataFrame:
 
 
 def importances(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
-    """Impurity importances of a tree model, largest first."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(value)) for name, value in zip(features, values)]
+    """What each feature counts in a model, largest first: impurity importances of trees, absolute
+    coefficients of linear models."""
+    last = model.stages[-1]
+    found = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
+    rows = [(name, abs(float(value))) for name, value in zip(features, found.toArray())]
     table = spark.createDataFrame(rows, "feature STRING, importance DOUBLE")
     return table.orderBy(F.desc("importance"), "feature")
 
@@ -198,13 +200,11 @@ def load(path: str) -> PipelineModel:
 def oversample(train: DataFrame, features: list[str], key: str) -> DataFrame:
     """Training rows with synthetic rows added until both classes have the same size.
 
-    Synthetic rows get negative keys, distinct from all real ones.
+    A synthetic row keeps the key of the row it was made from, so both fall into one fold; `copy`
+    numbers them from 1 and is 0 for real rows, so (key, copy) identifies a row.
     """
     made = smote(train, "label", key, features)
-    key_of_copy = -(F.col(key) * 1000 + F.col("copy"))
-    synthetic = made.select(
-        key_of_copy.alias(key), "label", *[F.col(c).cast("double").alias(c) for c in features]
-    )
-    real = train.select(key, "label", *[F.col(c).cast("double").alias(c) for c in features])
+    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in features]
+    real = train.select(key, F.lit(0).cast("bigint").alias("copy"), "label", *columns)
+    synthetic = made.select(key, F.col("copy").cast("bigint"), "label", *columns)
     return stage(real.unionByName(synthetic), "oversampled")
-

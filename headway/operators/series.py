@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from headway.functions import smoothing
 from headway.operators.clean import fill_gaps
+from headway.plans.staging import stage
 from headway.sources.generators import calendar
 
 HORIZON = 7
@@ -21,7 +22,7 @@ def daily_series(df: DataFrame, by: list[str] | None = None, y: str = "delay_min
     Everything after the first aggregate is day-grain: a series holds one row per calendar day.
     """
     by = by or []
-    means = df.groupBy(*by, "date").agg(F.avg(y).alias("value"))
+    means = stage(df.groupBy(*by, "date").agg(F.avg(y).alias("value")), "series_means")
     bounds = means.groupBy(*by).agg(F.min("date").alias("low"), F.max("date").alias("high"))
     days = calendar(bounds)
     return days.join(means, [*by, "date"], "left").transform(fill_gaps, ["value"], "date", by)

@@ -1,13 +1,11 @@
 """Aggregates and statistics over featured rows.
 
-Delay-shaped measures take few distinct values, so exact quantiles, box plots, histograms and
-densities start from value counts: one scan of the rows, combined before the shuffle, and every
-later step works on the counts.
+Exact quantiles and box plots start from value counts: one scan of the rows, combined before the
+shuffle, and every later step works on the counts. Histograms and densities count by bin.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -18,6 +16,7 @@ from headway.functions.calendar import WEEKDAYS
 from headway.functions.core import first_match, flag, nan_to_null, ratio
 from headway.plans.staging import stage
 
+# The correlated columns, in order.
 CORRELATION_COLUMNS = [
     "delay_minutes", "precipitation_mm", "wind_speed_max_kmh", "temperature_mean_c",
     "weather_severity", "has_event", "event_impact_score", "is_rush_hour", "is_weekend", "hour",
@@ -101,14 +100,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("records"))
 
 
-def top_values(df: DataFrame, column: str, n: int = 8) -> DataFrame:
-    """The most frequent non-null values; ties by value."""
-    counts = df.where(F.col(column).isNotNull()).transform(value_counts, column)
-    return counts.orderBy(F.desc("records"), F.asc(column)).limit(n)
+def _cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(field, value) of every cell that is not null: one scan for all columns."""
+    cells = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*cells))).where("value IS NOT NULL")
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).where(F.col(column).isNotNull()).distinct()
+def top_values(df: DataFrame, columns: list[str], n: int = 8) -> DataFrame:
+    """The most frequent values of each column as (field, value, records); ties by value."""
+    counts = _cells(df, columns).groupBy("field", "value").agg(F.count("*").alias("records"))
+    rank = F.row_number().over(W.partitionBy("field").orderBy(F.desc("records"), F.asc("value")))
+    return counts.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The values of each column as (field, value)."""
+    return _cells(df, columns).distinct()
 
 
 def weekday_means(df: DataFrame, y: str = "delay_minutes") -> DataFrame:
@@ -124,12 +131,8 @@ def labelled_summary(
     df: DataFrame, by: str, labels: dict[int, str], y: str = "delay_minutes"
 ) -> DataFrame:
     """Mean, exact median and count of `y` for each labelled value of `by`."""
-    return (
-        counts_of(df, [by], y)
-        .groupBy(by)
-        .agg(*_mean_median(y), F.sum("n").alias("records"))
-        .withColumn(by, first_match([(F.col(by) == k, v) for k, v in labels.items()]))
-    )
+    found = _mean_median(df.select(by, y), by, y)
+    return found.withColumn(by, first_match([(F.col(by) == k, v) for k, v in labels.items()]))
 
 
 def counts_of(df: DataFrame, by: list[str], y: str) -> DataFrame:
@@ -137,13 +140,17 @@ def counts_of(df: DataFrame, by: list[str], y: str) -> DataFrame:
     return df.where(F.col(y).isNotNull()).groupBy(*by, y).agg(F.count("*").alias("n"))
 
 
-def _mean_median(y: str) -> tuple[Column, Column]:
+def _mean_median(df: DataFrame, by: str, y: str) -> DataFrame:
+    counts = stage(counts_of(df, [by], y), "value_counts")  # read several times
     mean = ratio(F.sum(F.col(y) * F.col("n")), F.sum("n"))
-    return mean.alias("mean"), F.percentile(y, 0.5, F.col("n")).alias("median")
+    means = counts.groupBy(by).agg(mean.alias("mean"), F.sum("n").alias("records"))
+    medians = quantiles(counts, by, y, [0.5]).select(F.col(by).alias("_group"), F.col("q")[0].alias("median"))
+    joined = means.join(medians, F.col(by).eqNullSafe(F.col("_group")))
+    return joined.select(by, "mean", "median", "records")
 
 
 def summary(df: DataFrame, y: str = "delay_minutes") -> DataFrame:
-    return counts_of(df, [], y).agg(*_mean_median(y), F.sum("n").alias("records"))
+    return _mean_median(df.select(F.lit(0).alias("all"), y), "all", y).drop("all")
 
 
 def quantiles(counts: DataFrame, by: str, y: str, shares: list[float], buckets: int = 256) -> DataFrame:
@@ -188,26 +195,10 @@ def quantiles(counts: DataFrame, by: str, y: str, shares: list[float], buckets:
     return per_share.groupBy(F.col("_group").alias(by)).agg(listed.alias("q"))
 
 
-def box_stats(
-    df: DataFrame,
-    by: str,
-    y: str = "delay_minutes",
-    outliers: bool = True,
-    few_values: bool = True,
-) -> DataFrame:
-    """Quartiles, whiskers (the furthest values within 1.5 IQR of the box) and outlier counts.
-
-    `few_values` says that `y` takes a fixed number of values, as delays do; a group's counts then
-    fit one task. Pass False for any other measure.
-    """
-    counts = counts_of(df, [by], y)
-    shares = [0.25, 0.5, 0.75]
-    if few_values:
-        quartiles = F.percentile(y, F.array(*[F.lit(s) for s in shares]), F.col("n"))
-        boxes = counts.groupBy(by).agg(quartiles.alias("q"))
-    else:
-        counts = stage(counts, "value_counts")  # read several times
-        boxes = quantiles(counts, by, y, shares)
+def box_stats(df: DataFrame, by: str, y: str = "delay_minutes", outliers: bool = True) -> DataFrame:
+    """Quartiles, whiskers (the furthest values within 1.5 IQR of the box) and outlier counts."""
+    counts = stage(counts_of(df, [by], y), "value_counts")  # read several times
+    boxes = quantiles(counts, by, y, [0.25, 0.5, 0.75])
     boxes = boxes.select(F.col(by).alias("_group"), "q")
     q1, q3 = F.col("q")[0], F.col("q")[2]
     reach = (q3 - q1) * 1.5
@@ -229,60 +220,37 @@ def box_stats(
 def correlations(df: DataFrame, columns: list[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Pearson correlation of every pair, each pair over the rows where both are present.
 
-    Each Arrow batch is reduced to one matrix of sums, so tasks exchange a few hundred numbers. The
-    result lists both orders of a pair, like a matrix; a constant column correlates with nothing.
+    One aggregate over one scan. The result lists both orders of a pair, like a matrix; a constant
+    column correlates with nothing.
     """
     columns = [c for c in columns if c in df.columns]
     clean = df.select([nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    means = clean.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    centred = clean.select([(F.col(c) - means[c]).alias(c) for c in columns])
-    size = len(columns)
-
-    def sums(frames):
-        for frame in frames:
-            values = frame.to_numpy(dtype=float)
-            present = ~np.isnan(values)
-            values = np.where(present, values, 0.0)
-            mask = present.astype(float)
-            n, x, xx, xy = mask.T @ mask, values.T @ mask, (values**2).T @ mask, values.T @ values
-            a, b = np.divmod(np.arange(size * size), size)
-            yield pd.DataFrame(
-                {
-                    "a": a, "b": b, "n": n[a, b], "x": x[a, b], "y": x[b, a],
-                    "xx": xx[a, b], "yy": xx[b, a], "xy": xy[a, b],
-                }
-            )
-
-    parts = ["n", "x", "y", "xx", "yy", "xy"]
-    schema = "a INT, b INT, " + ", ".join(f"{c} DOUBLE" for c in parts)
-    totals = (
-        centred.mapInPandas(sums, schema)
-        .groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in parts])
-    )
-    n, x, y, xx, yy, xy = [F.col(c) for c in parts]
-    spread_x, spread_y = xx - ratio(x * x, n), yy - ratio(y * y, n)
-    tiny = 1e-12
-    varies = (n > 0) & (spread_x > tiny * xx) & (spread_y > tiny * yy)
-    names = F.array(*[F.lit(c) for c in columns])
-    return totals.select(
-        names[F.col("a")].alias("column_a"),
-        names[F.col("b")].alias("column_b"),
-        F.when(varies, ratio(xy - ratio(x * y, n), F.sqrt(spread_x * spread_y))).alias("correlation"),
-    )
-
-
-def trend_lines(df: DataFrame, x: str, by: str = "weather_condition", y: str = "delay_minutes") -> DataFrame:
-    """Least-squares line of `y` over `x` in each group; none where `x` does not vary."""
-    sums = df.groupBy(by).agg(
-        F.regr_count(y, x).alias("points"),
-        *[getattr(F, f"regr_{s}")(y, x).alias(s) for s in ("sxx", "syy", "sxy", "avgx", "avgy")],
-    )
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    cells = []
+    for a, b in pairs:
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        value = ratio(F.covar_pop(a, b), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("correlation")))
+    found = clean.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    orders = F.array_distinct(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = found.select(F.explode(orders).alias("pair"), "correlation")
+    return both.select(F.col("pair.a").alias("column_a"), F.col("pair.b").alias("column_b"), "correlation")
+
+
+def trend_lines(
+    df: DataFrame, xs: list[str], by: str = "weather_condition", y: str = "delay_minutes"
+) -> DataFrame:
+    """Least-squares line of `y` over each of `xs` in each group; none where it does not vary."""
+    lines = []
+    for x in xs:
+        sums = [getattr(F, f"regr_{s}")(y, x).alias(s) for s in ("sxx", "syy", "sxy", "avgx", "avgy")]
+        lines.append(F.struct(F.lit(x).alias("x"), F.regr_count(y, x).alias("points"), *sums))
+    sums = df.groupBy(by).agg(F.array(*lines).alias("lines")).select(by, F.inline("lines"))
     sxx, syy, sxy = F.col("sxx"), F.col("syy"), F.col("sxy")
     slope = ratio(sxy, sxx)
     return sums.select(
         by,
-        F.lit(x).alias("x"),
+        "x",
         "points",
         slope.alias("slope"),
         (F.col("avgy") - slope * F.col("avgx")).alias("intercept"),
@@ -290,13 +258,22 @@ def trend_lines(df: DataFrame, x: str, by: str = "weather_condition", y: str = "
     )
 
 
+def _span(df: DataFrame, y: str) -> tuple[Column, Column]:
+    """The smallest value of `y` and the distance to the largest, as a scalar of its own scan."""
+    span = df.agg(F.struct(F.min(y).alias("low"), (F.max(y) - F.min(y)).alias("wide"))).scalar()
+    return span["low"], span["wide"]
+
+
 def histogram(df: DataFrame, y: str = "delay_minutes", bins: int = 50) -> DataFrame:
-    """Equal-width bins over the data range; the maximum belongs to the last bin."""
-    counts = counts_of(df, [], y)
-    span = counts.agg(F.struct(F.min(y).alias("low"), F.max(y).alias("high"))).scalar()
-    low, width = span["low"], (span["high"] - span["low"]) / bins
+    """Equal-width bins over the data range; the maximum belongs to the last bin.
+
+    The range is found first, so that rows are counted by bin and never by value.
+    """
+    known = df.select(y).where(F.col(y).isNotNull())
+    low, wide = _span(known, y)
+    width = wide / bins
     place = F.least(F.floor(ratio(F.col(y) - low, width)), F.lit(bins - 1)).cast("int")
-    filled = counts.groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(F.sum("n").alias("records"))
+    filled = known.groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(F.count("*").alias("records"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(filled, "bin", "left").select(
         "bin",
@@ -306,18 +283,28 @@ def histogram(df: DataFrame, y: str = "delay_minutes", bins: int = 50) -> DataFr
     )
 
 
-def density(df: DataFrame, y: str = "delay_minutes", points: int = 200) -> DataFrame:
-    """Gaussian kernel density on an even grid over the data range, Scott's bandwidth."""
-    counts = counts_of(df, [], y).withColumn("v", F.col(y).cast("double"))
+def density(df: DataFrame, y: str = "delay_minutes", points: int = 200, bins: int = 4096) -> DataFrame:
+    """Gaussian kernel density on an even grid over the data range, Scott's bandwidth.
+
+    Rows are summed in fine bins, each standing at the mean of its values: exact where a bin holds
+    one value, as with delays, and otherwise off by less than a bin's width.
+    """
+    known = df.select(F.col(y).cast("double").alias("v")).where("v IS NOT NULL")
+    low, wide = _span(known, "v")
+    place = F.coalesce(F.floor(ratio((F.col("v") - low) * bins, wide)), F.lit(0).cast("bigint"))
+    counts = known.groupBy(place.alias("bin")).agg(
+        F.count("*").alias("n"), F.avg("v").alias("v"), F.sum(F.col("v") * F.col("v")).alias("squares"),
+        F.min("v").alias("low"), F.max("v").alias("high"),
+    )
+    counts = stage(counts, "fine_bins")
     n = F.sum("n")
     mean = ratio(F.sum(F.col("v") * F.col("n")), n)
-    squares = F.sum(F.col("v") * F.col("v") * F.col("n"))
-    spread = F.sqrt(ratio(squares - n * mean * mean, n - 1))
+    spread = F.sqrt(ratio(F.sum("squares") - n * mean * mean, n - 1))
     facts = counts.agg(
         F.struct(
             n.cast("double").alias("n"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
             (spread * F.pow(n.cast("double"), F.lit(-0.2))).alias("width"),
         ).alias("f")
     ).scalar()

@@ -85,6 +85,11 @@ class Warehouse:
         """Gap-filled daily mean delay per borough."""
         return stage(series.daily_series(self.trips, ["borough"]), "borough_days")
 
+    @cached_property
+    def network_days(self) -> DataFrame:
+        """Gap-filled daily mean delay of the whole network."""
+        return stage(series.daily_series(self.trips), "network_days")
+
     @cached_property
     def encoded(self) -> DataFrame:
         """Encoded features, staged because every model reads them many times."""

@@ -7,19 +7,43 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from headway.functions.core import ratio
 from headway.sources.schemas import HOLIDAY_SCHEMA, WEATHER_DOCUMENT_SCHEMA, WEATHER_RENAMES
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str | None = None,
+    multi_line: bool = False,
+    bad_rows: str | None = None,
 ) -> DataFrame:
-    """Header CSV. Without a schema Spark infers one, which costs a second pass over the files.
+    """Header CSV, columns matched by name: the declared ones, null where the header lacks them.
 
-    Fields with line breaks need `multi_line`, which reads each file in one task.
+    Without a schema Spark infers one, which costs a second pass over the files. Fields with line
+    breaks need `multi_line`, which reads each file in one task. A file whose header differs from
+    the first one's ends the read instead of shifting its values. With `bad_rows` a column of that
+    name holds the text of every line that does not fit the schema, so that they can be counted.
     """
-    reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line)
-    return reader.schema(schema).csv(path) if schema else reader.csv(path, inferSchema=True)
+    options = {"header": True, "mode": "PERMISSIVE", "escape": '"', "multiLine": multi_line}
+    reader = spark.read.options(**options, enforceSchema=False)
+    if schema is None:
+        return reader.csv(path, inferSchema=True)
+    wanted = T.StructType.fromDDL(schema)
+    kinds = {field.name: field.dataType for field in wanted}
+    header = spark.read.options(**options).csv(path).columns
+    fields = [T.StructField(name, kinds.get(name, T.StringType())) for name in header]
+    if bad_rows:
+        reader = reader.options(enforceSchema=True, columnNameOfCorruptRecord=bad_rows)
+        fields.append(T.StructField(bad_rows, T.StringType()))
+    rows = reader.schema(T.StructType(fields)).csv(path)
+    columns = [
+        F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in wanted
+    ]
+    return rows.select(*columns, *([bad_rows] if bad_rows else []))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -43,39 +67,49 @@ def read_table(
     return df.withColumns({c: F.col(c).try_cast("date") for c in dates if c in text})
 
 
-def csv_to_parquet(spark: SparkSession, tables: dict[str, tuple[str, str, str | None]]) -> DataFrame:
-    """Convert each `name: (csv path, parquet path, schema)`; report the bytes of both sides.
+def _bytes_of(spark: SparkSession, path: str, kind: str, files: str = "part-*") -> DataFrame:
+    """Sizes from the file listing that the binary-file source does without opening the files."""
+    found = spark.read.format("binaryFile").options(pathGlobFilter=files, recursiveFileLookup=True)
+    return found.load(path).select(F.lit(kind).alias("kind"), "length")
 
-    Sizes come from the file listing that the binary-file source does without opening the files.
-    """
+
+def csv_to_parquet(spark: SparkSession, tables: dict[str, tuple[str, str, str | None]]) -> DataFrame:
+    """Convert each `name: (csv path, parquet path, schema)`; report the bytes of both sides."""
     reports = []
     for name, (source, target, schema) in tables.items():
         read_csv(spark, source, schema).write.option("compression", "snappy").parquet(target)
-        sizes = [
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "part-*")
-            .option("recursiveFileLookup", True)
-            .load(path)
-            .select(F.lit(kind).alias("kind"), "length")
-            for kind, path in (("csv", source), ("parquet", target))
+        both = _bytes_of(spark, source, "csv", "*").union(_bytes_of(spark, target, "parquet"))
+        sums = [
+            F.sum(F.when(F.col("kind") == kind, F.col("length"))).alias(f"{kind}_bytes")
+            for kind in ("csv", "parquet")
         ]
-        reports.append(
-            sizes[0]
-            .union(sizes[1])
-            .agg(
-                F.sum(F.when(F.col("kind") == "csv", F.col("length"))).alias("csv_bytes"),
-                F.sum(F.when(F.col("kind") == "parquet", F.col("length"))).alias("parquet_bytes"),
-            )
-            .select(F.lit(name).alias("table_name"), "csv_bytes", "parquet_bytes")
-        )
+        reports.append(both.agg(*sums).select(F.lit(name).alias("table_name"), "csv_bytes", "parquet_bytes"))
     report = reduce(DataFrame.union, reports)
-    return report.withColumn("size_ratio", F.col("parquet_bytes") / F.col("csv_bytes"))
+    return report.withColumn("size_ratio", ratio(F.col("parquet_bytes"), F.col("csv_bytes")))
+
 
+def csv_folder_to_parquet(
+    spark: SparkSession, folder: str, schemas: dict[str, str] | None = None
+) -> DataFrame:
+    """Convert every `name.csv` in a folder to `name.parquet` beside it; report as above.
+
+    The list of files is as long as the folder has tables.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    sources = sorted(row["path"] for row in found.select("path").distinct().collect())
+    tables = {}
+    for source in sources:
+        base = source.removesuffix(".csv")
+        name = base.rpartition("/")[2]
+        tables[name] = (source, f"{base}.parquet", (schemas or {}).get(name))
+    return csv_to_parquet(spark, tables)
 
-def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
+
+def read_weather_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Documents of parallel arrays, one array per measure, to one row per day.
 
-    A measure that a document lacks is null on all of its days.
+    A measure that a document lacks is null on all of its days. `multi_line` is for documents that
+    span lines, one per file; otherwise one document per line.
     """
     fields = ["time", *WEATHER_RENAMES]
     arrays = [F.coalesce(F.col(f"daily.{name}"), F.array()).alias(name) for name in fields]
@@ -83,6 +117,7 @@ def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
     names = {"time": "date", **WEATHER_RENAMES}
     return (
         spark.read.schema(WEATHER_DOCUMENT_SCHEMA)
+        .option("multiLine", multi_line)
         .json(path)
         .select(F.inline(zipped).alias(*fields))
         .withColumn("time", F.col("time").try_cast("date"))
@@ -90,12 +125,17 @@ def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_record_pages(spark: SparkSession, path: str, schema: str, array_pages: bool = False) -> DataFrame:
+def read_record_pages(
+    spark: SparkSession, path: str, schema: str | None = None, array_pages: bool = False
+) -> DataFrame:
     """Ragged record pages as one table: a key missing from a page or record is null.
 
-    `array_pages` is for pages that hold one JSON array each; otherwise one record per line.
+    Without a schema the columns are the union of the keys of all pages, found by a pass over
+    every record. A schema saves that pass and keeps its keys alone. `array_pages` is for pages
+    that hold one JSON array each; otherwise one record per line.
     """
-    return spark.read.schema(schema).option("multiLine", array_pages).json(path)
+    reader = spark.read.option("multiLine", array_pages).option("samplingRatio", 1.0)
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
 def read_holidays(spark: SparkSession, path: str, array_pages: bool = False) -> DataFrame:

@@ -182,3 +182,17 @@ def test_weather_features_of_a_day_without_report(frame):
     got = features.add_weather_features(frame([(None, None, None, None)], schema)).first()
     assert got["weather_severity_index"] is None and got["temp_category"] is None
     assert (got["rain_category"], got["is_extreme_weather"], got["is_rainy_day"], got["is_snowy_day"]) == ("No_Rain", 0, 0, 0)
+
+
+def test_numbers_beyond_their_type_count_as_missing(frame):
+    rows = frame([("99999999999",), ("Infinity",), ("-1e300",), ("3.0",), (None,)], "x string")
+    assert [r[0] for r in rows.select(core.whole_number(F.col("x"))).collect()] == [0, 0, 0, 3, 0]
+    events = frame([("e", " t ", "high", "1e30"), ("f", "t", None, "12")], "event_name string, event_type string, impact_level string, expected_attendance string")
+    assert values(clean.clean_events(events), "event_name", "expected_attendance") == [("e", 0), ("f", 12)]
+
+
+def test_two_landed_fields_of_one_column_are_merged(frame):
+    df = frame([(1, None, "pre-k"), (2, "school", "x")], "busbreakdown_id int, school_age_or_prek string, school_age_or_pre_k string")
+    got = clean.rename_trip_fields(df)
+    assert sorted(got.columns) == ["incident_id", "service_type"]
+    assert values(got, "incident_id", "service_type") == [(1, "pre-k"), (2, "school")]

@@ -140,7 +140,7 @@ def test_classifiers_on_oversampled_rows(signal):
     rows = signal.withColumn("label", (F.col("label") > 22).cast("double"))
     balanced = models.oversample(rows, ["a", "b", "c"], "id")
     assert balanced.groupBy("label").count().select("count").distinct().count() == 1
-    assert balanced.select("id").distinct().count() == balanced.count()
+    assert balanced.select("id", "copy").distinct().count() == balanced.count()
     weighted = balanced.withColumn("weight", F.lit(1.0))
     found = models.compare(weighted, rows, ["a", "b", "c"], "id", "classification", models.classifiers(SMALL), folds=None)
     assert all(r["f1"] > 0.7 for r in found.results.collect())
@@ -159,6 +159,37 @@ def test_attributions_add_up_to_the_prediction(signal):
     assert top["feature"] == "ab"
 
 
+def test_rare_rows_get_distinct_copies(spark):
+    """Two rare rows in 4,000: thousands of copies of each, under keys beyond 32 bits."""
+    big = 9_200_000_000_000_000
+    df = spark.range(0, 4000).selectExpr(f"id + {big} AS id", "CAST(id < 2 AS DOUBLE) AS label", "CAST(id AS DOUBLE) AS a")
+    balanced = models.oversample(df, ["a"], "id")
+    assert balanced.count() == balanced.select("id", "copy").distinct().count() == 7996
+    folds = models.with_fold(balanced, "id").groupBy("id").agg(F.countDistinct("fold").alias("n"))
+    assert folds.where("n > 1").count() == 0
+
+
+def test_every_row_is_explained_against_the_whole_background(signal):
+    model = models.assembled(models.regressors(SMALL)["Linear Regression"], ["a", "b", "c"]).fit(signal)
+    credits = explain.sampled_attribution(model, signal, "id", {"a": ["a"], "b": ["b"], "c": ["c"]}, signal, permutations=2)
+    weights = dict(zip("abc", model.stages[-1].coefficients))
+    assert credits.select("id").distinct().count() == 3000
+    means = signal.agg(*[F.avg(c).alias(c) for c in "abc"]).first()
+    for name in "ab":  # each credit is unbiased, so their mean over all rows is near the exact one
+        exact = signal.agg(F.avg(F.abs((F.col(name) - means[name]) * float(weights[name])))).first()[0]
+        found = credits.where(F.col("feature") == name).agg(F.avg("value"), F.avg(F.abs("value"))).first()
+        assert abs(found[0]) < 0.35 and found[1] >= exact * 0.9
+
+
+def test_classifiers_are_explained_by_their_probability(signal):
+    rows = signal.withColumn("label", (F.col("label") > 22).cast("double")).withColumn("weight", F.lit(1.0))
+    model = models.assembled(models.classifiers(SMALL)["Logistic Regression"], ["a", "b"]).fit(rows)
+    some = rows.where("id < 60")
+    total = explain.sampled_attribution(model, some, "id", {"a": ["a"], "b": ["b"]}, rows, permutations=2)
+    sums = total.groupBy("id").agg(F.sum("value").alias("s")).agg(F.min("s"), F.max("s"), F.countDistinct("s")).first()
+    assert -1 <= sums[0] < 0 < sums[1] <= 1 and sums[2] > 3
+
+
 def test_linear_attribution_is_exact(frame):
     rows = frame([(1, 1.0, 5.0), (2, 3.0, 9.0)], "id int, a double, b double")
     got = explain.linear_attribution(rows, "id", ["a", "b"], [2.0, -1.0], rows)

@@ -85,3 +85,40 @@ def test_export_head_is_ordered_and_bounded(frame, spark, tmp_path):
     df = frame([(i % 7, i) for i in range(50)], "d int, i int")
     files.export_head(df, ["d", "i"], str(tmp_path / "h.csv"), rows=5)
     assert values(files.read_csv(spark, str(tmp_path / "h.csv"), "d int, i int")) == [(0, 0), (0, 7), (0, 14), (0, 21), (0, 28)]
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("b,extra,a\n1.5,q,7\n,r,8\n")
+    got = files.read_csv(spark, str(tmp_path / "t.csv"), "a INT, b DOUBLE, missing STRING")
+    assert got.columns == ["a", "b", "missing"]
+    assert values(got) == [(7, 1.5, None), (8, None, None)]
+
+
+def test_csv_lines_that_do_not_fit_can_be_counted(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,x\nnone,y\n")
+    got = files.read_csv(spark, str(tmp_path / "t.csv"), "a INT, b STRING", bad_rows="bad").cache()
+    assert values(got) == [(1, "x", None), (None, "y", "none,y")]
+
+
+def test_pages_without_a_schema_have_the_union_of_keys(spark, tmp_path):
+    (tmp_path / "page-0.json").write_text(json.dumps([{"a": 1}, {"a": 2, "late": "z"}]))
+    (tmp_path / "page-1.json").write_text(json.dumps([{"c": True}]))
+    got = files.read_record_pages(spark, str(tmp_path), array_pages=True)
+    assert values(got, "a", "c", "late") == [(1, None, None), (2, None, "z"), (None, True, None)]
+
+
+def test_weather_document_over_several_lines(spark, tmp_path):
+    doc = {"daily": {"time": ["2023-01-01"], "precipitation_sum": [1.5]}}
+    (tmp_path / "w.json").write_text(json.dumps(doc, indent=2))
+    got = files.read_weather_documents(spark, str(tmp_path / "w.json"), multi_line=True).first()
+    assert (got["date"], got["precipitation_mm"]) == (dt.date(2023, 1, 1), 1.5)
+
+
+def test_a_folder_of_csv_files_is_converted(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,x\n2,y\n")
+    (tmp_path / "two.csv").write_text("c\n3\n")
+    report = files.csv_folder_to_parquet(spark, str(tmp_path), {"one": "a BIGINT, b STRING"})
+    rows = {r["table_name"]: r for r in report.collect()}
+    assert set(rows) == {"one", "two"} and rows["one"]["csv_bytes"] == 12
+    assert all(r["parquet_bytes"] > 0 and r["size_ratio"] > 0 for r in rows.values())
+    assert values(spark.read.parquet(str(tmp_path / "one.parquet"))) == [(1, "x"), (2, "y")]

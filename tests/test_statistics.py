@@ -69,7 +69,7 @@ def test_density_integrates_to_less_than_one_and_peaks_at_the_mode(frame):
 
 def test_trend_line_without_spread_is_null(frame):
     rows = [("a", 1.0, 3.0), ("a", 2.0, 5.0), ("b", 1.0, 3.0), ("b", 1.0, 4.0), ("c", 1.0, None)]
-    got = {r["weather_condition"]: r for r in stats.trend_lines(frame(rows, "weather_condition string, x double, delay_minutes double"), "x").collect()}
+    got = {r["weather_condition"]: r for r in stats.trend_lines(frame(rows, "weather_condition string, x double, delay_minutes double"), ["x"]).collect()}
     assert (got["a"]["slope"], got["a"]["intercept"], got["a"]["r2"]) == (2.0, 1.0, 1.0)
     assert got["b"]["slope"] is None and got["c"]["points"] == 0
 
@@ -203,3 +203,48 @@ def test_scores_of_an_absent_class_are_zero(frame):
 def test_regression_scores(frame):
     row = metrics.regression_metrics(frame([(1.0, 2.0), (3.0, 3.0), (5.0, 4.0)], "y double, p double"), "y", "p").first()
     assert (row["mae"], row["rmse"], row["r2"]) == (0.6667, 0.8165, 0.75)
+
+
+def test_levels_with_dots_and_back_ticks_reach_a_model(frame):
+    from headway.operators import models
+
+    rows = [(i, "Won`t Start" if i % 3 else "St. John", "St_ John" if i % 2 else "St. John", float(i % 3)) for i in range(30)]
+    df = frame(rows, "incident_id long, delay_reason string, borough string, delay_minutes double").withColumn("is_delayed", F.lit(0))
+    matrix = encode.model_matrix(encode.encode(df), "regression")
+    names = encode.feature_names(matrix)
+    assert {"borough_St_ John", "borough_St_ John_2", "delay_reason_Won_t Start"} <= set(names)
+    fitted = models.assembled(models.regressors(models.Size(trees=2))["Linear Regression"], names).fit(matrix)
+    assert fitted.transform(matrix).count() == 30
+
+
+def test_encoding_levels_equal_capping_then_listing(frame):
+    rows = [("abcde"[i % 5] if i % 7 else None, "x" if i % 2 else "y") for i in range(60)]
+    df = frame(rows, "borough string, season string")
+    kept, levels = encode.encoding_levels(df, n=3)
+    capped = encode.cap_levels(df, n=3)
+    assert kept == encode.top_levels(df, ["borough"], 3)
+    assert levels == encode.levels_of(capped, ["season", "borough"])
+
+
+def test_hash_uses_the_high_bits_of_a_key(spark):
+    df = spark.range(0, 4096).selectExpr("7 + shiftleft(id, 32) AS id")
+    assert df.select(portable_hash(F.col("id"), 42).alias("h")).distinct().count() == 4096
+
+
+def test_correlations_leave_out_nulls_by_pair(frame):
+    rows = [(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, None, 5.0), (4.0, 1.0, 5.0), (float("nan"), 9.0, 5.0)]
+    got = {(r[0], r[1]): r[2] for r in stats.correlations(frame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    assert len(got) == 9 and got["a", "c"] is None and got["c", "c"] is None
+    assert abs(got["a", "b"] - np.corrcoef([1, 2, 4], [2, 4, 1])[0, 1]) < 1e-12 and abs(got["a", "a"] - 1) < 1e-12
+
+
+def test_any_measure_has_exact_medians_and_a_close_density(spark):
+    df = spark.range(0, 5000).selectExpr("id % 3 AS g", "CAST(pmod(hash(id), 100000) AS DOUBLE) / 7 AS y")
+    frame = df.toPandas()
+    got = {r["g"]: r["median"] for r in stats.labelled_summary(df, "g", {0: "0", 1: "1", 2: "2"}, "y").collect()}
+    assert got == {str(k): v for k, v in frame.groupby("g")["y"].median().items()}
+    assert stats.summary(df, "y").first()["median"] == frame["y"].median()
+    curve = stats.density(df, "y", points=50).orderBy("point").toPandas()
+    width = frame["y"].std() * len(frame) ** -0.2
+    exact = np.exp(-0.5 * ((curve["x"].to_numpy()[:, None] - frame["y"].to_numpy()) / width) ** 2).mean(axis=1) / (width * np.sqrt(2 * np.pi))
+    assert np.abs(curve["density"] - exact).max() < exact.max() * 1e-3
