@@ -140,17 +140,24 @@ def counts_of(df: DataFrame, by: list[str], y: str) -> DataFrame:
     return df.where(F.col(y).isNotNull()).groupBy(*by, y).agg(F.count("*").alias("n"))
 
 
+def _mean_and_count(y: str) -> list[Column]:
+    return [ratio(F.sum(F.col(y) * F.col("n")), F.sum("n")).alias("mean"), F.sum("n").alias("records")]
+
+
 def _mean_median(df: DataFrame, by: str, y: str) -> DataFrame:
     counts = stage(counts_of(df, [by], y), "value_counts")  # read several times
-    mean = ratio(F.sum(F.col(y) * F.col("n")), F.sum("n"))
-    means = counts.groupBy(by).agg(mean.alias("mean"), F.sum("n").alias("records"))
+    means = counts.groupBy(by).agg(*_mean_and_count(y))
     medians = quantiles(counts, by, y, [0.5]).select(F.col(by).alias("_group"), F.col("q")[0].alias("median"))
     joined = means.join(medians, F.col(by).eqNullSafe(F.col("_group")))
     return joined.select(by, "mean", "median", "records")
 
 
 def summary(df: DataFrame, y: str = "delay_minutes") -> DataFrame:
-    return _mean_median(df.select(F.lit(0).alias("all"), y), "all", y).drop("all")
+    """Mean, exact median and count of all rows: one row, null where there are none."""
+    counts = stage(counts_of(df.select(F.lit(0).alias("all"), y), ["all"], y), "value_counts")
+    median = quantiles(counts, "all", y, [0.5]).agg(F.first(F.col("q")[0])).scalar()
+    means = counts.agg(*_mean_and_count(y))
+    return means.select("mean", median.alias("median"), "records")
 
 
 def quantiles(counts: DataFrame, by: str, y: str, shares: list[float], buckets: int = 256) -> DataFrame:
