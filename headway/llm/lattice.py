@@ -45,7 +45,7 @@ SHIFT = 2.7
 #: have to exceed its mean by as much, which has a chance below 1e-25.
 REACH = 60.0
 #: Word lattices kept per task, counted in nodes; the store begins anew beyond it.
-KEPT_NODES = 1_000_000
+KEPT_NODES = 4_000_000
 
 _WORD = re.compile("▁*[^▁]+|▁+")
 _U = np.uint64
@@ -75,6 +75,13 @@ def _one(seed: int, *places: int) -> float:
     return float(_uniform(value, np.array(places[-1:]))[0])
 
 
+def split_words(text: str) -> list[str]:
+    """Words of a normalised text, each with the `▁` before it."""
+    if text.startswith("▁") and "▁▁" not in text and not text.endswith("▁"):
+        return ["▁" + word for word in text[1:].split("▁")]
+    return _WORD.findall(text)
+
+
 class Pieces:
     """Pieces, their weights and their bytes, from a SentencePiece model."""
 
@@ -252,9 +259,10 @@ class Lattices:
     def numbers(self, words: list[str]) -> np.ndarray:
         found = list(map(self.words.get, words))
         if None in found:
-            new = dict.fromkeys(word for word, number in zip(words, found) if number is None)
-            self._add(list(new))
-            found = list(map(self.words.get, words))
+            new = [i for i, number in enumerate(found) if number is None]
+            self._add(list(dict.fromkeys([words[i] for i in new])))
+            for i in new:
+                found[i] = self.words[words[i]]
         return np.array(found, dtype=np.int64)
 
     def ids(self, chosen: np.ndarray) -> np.ndarray:
@@ -262,6 +270,10 @@ class Lattices:
         odd = np.flatnonzero(chosen < 0)
         if not len(odd):
             return chosen
+        if max(map(len, self.extra_ids)) == 1:
+            out = chosen.copy()
+            out[odd] = np.array(self.extra_ids)[-1 - chosen[odd], 0]
+            return out
         spelled = [self.extra_ids[-1 - p] for p in chosen[odd].tolist()]
         sizes = np.ones(len(chosen), dtype=np.int64)
         sizes[odd] = [len(x) for x in spelled]
@@ -330,7 +342,7 @@ def sample_texts(
     """For each text up to `samples` segmentations: (ids, log probability, log inclusion)."""
     if len(lattices.edge_start) > KEPT_NODES:
         lattices.clear()
-    words = [_WORD.findall(lattices.model.normalised(text)) for text in texts]
+    words = [split_words(lattices.model.normalised(text)) for text in texts]
     number = lattices.numbers([w for own in words for w in own])
     view = _View(lattices)
     ends = np.cumsum([0] + [len(own) for own in words])
