@@ -35,7 +35,9 @@ CONTEXT_WORDS = (
 )
 CONTEXT_CHARS = 40
 _CONTEXT = re.compile(f"(?ai)(?:{'|'.join(CONTEXT_WORDS)})")
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+#: '=' parts a name from its value; at the end of a candidate one or two are padding.
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 
 #: The priming text: words of which identifiers are commonly made.
 IDENTIFIERS = (
@@ -98,6 +100,17 @@ def marginal_bytes(text: str, start: int, end: int) -> int:
     return _size(around + text[start:end], known) - _size(around, known)
 
 
+def _reach(text: str, start: int) -> int:
+    """Where the context of a string begins: some characters before it, but with all of its `name=`."""
+    left = start - 1
+    if left > 0 and text[left] in "\"'":
+        left -= 1
+    if left >= 0 and text[left] == "=":
+        while left > 0 and text[left - 1] in _NAME:
+            left -= 1
+    return max(0, min(left, start - CONTEXT_CHARS))
+
+
 def novel_spans(text: str, known: list[Span]) -> list[Span]:
     """Incompressible strings in sensitive context that no known span touches."""
     if not any(word in text.lower() for word in CONTEXT_WORDS):
@@ -108,8 +121,9 @@ def novel_spans(text: str, known: list[Span]) -> list[Span]:
         value = found.group()
         if not (re.search("[A-Za-z]", value) and re.search("[0-9]", value)):
             continue
-        line = text.rfind("\n", max(0, start - CONTEXT_CHARS), start) + 1
-        if not _CONTEXT.search(text, max(line, start - CONTEXT_CHARS), start):
+        reach = _reach(text, start)
+        line = text.rfind("\n", reach, start) + 1
+        if not _CONTEXT.search(text, max(line, reach), start):
             continue
         if any(a < end and start < b for a, b, _ in known):
             continue

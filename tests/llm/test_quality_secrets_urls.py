@@ -140,6 +140,23 @@ def test_novel_strings_are_reported_and_names_are_not():
     assert secrets.novel_spans(twice, []) == []  # the text around already holds it
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "export PRIVATE_KEY=", "aws_access_key=", "https://x.org/a?b=1&auth=", "session=", "pwd=", "SIGNING_KEY='",
+        "credential_of_the_nightly_backup_service_of_the_second_region=",
+        "credential_of_the_nightly_backup_service_of_the_second_region='",
+    ],
+)
+def test_the_name_of_an_assignment_is_context(name):
+    for value in ("Zx81kQpL0vNw72RtYb5eQq", "Zx81kQpL0vNw72RtYb5eQq=="):
+        text = f"first line\n{name}{value}\nlast line"
+        start = text.index(value)
+        assert secrets.novel_spans(text, []) == [(start, start + len(value), "novel")]
+        assert secrets.redacted(text, "#") == f"first line\n{name}#\nlast line"
+    assert secrets.novel_spans(f"{name}session_default_connection_timeout_2", []) == []
+
+
 def test_redaction_and_odd_rows(odd_docs):
     rows = secrets.find_secrets(odd_docs).collect()
     assert len(rows) == 8
