@@ -37,8 +37,16 @@ CONTEXT_CHARS = 40
 _CONTEXT = re.compile(f"(?ai)(?:{'|'.join(CONTEXT_WORDS)})")
 #: '=' parts a name from its value; at the end of a candidate one or two are padding.
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 _NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 
+#: The body of a private key: up to its end mark, or where that is missing, lines of one word.
+_BLOCK = re.compile(
+    r"(?s)-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"((?:(?!-----).)*(?=-----END)|(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/=]+(?=[ \t]*\r?(?:\n|\Z)))*)"
+)
+_BLOCK_PART = re.compile(r"[A-Za-z0-9+/]+={0,2}")
+
 #: The priming text: words of which identifiers are commonly made.
 IDENTIFIERS = (
     "access account action address admin api app application args array attribute auth authorization "
@@ -58,6 +66,14 @@ IDENTIFIERS = (
     "value variable version view void web window worker write"
 )
 _PRIMING = (IDENTIFIERS + " " + IDENTIFIERS.title().replace(" ", "") + "_" + IDENTIFIERS.replace(" ", "_")).encode()
+#: Words of no identifier, that letters alone are measured beside: in a short text they would be
+#: stored as they are, at a byte each, as random ones are.
+PROSE = (
+    "We hold that most of what people write in plain words, of whatever tongue, uses few letters often and "
+    "many seldom: Jeder Mensch braucht Zeit, um Neues zu verstehen; il faut du temps pour bien faire les "
+    "choses, y quien busca encuentra. Big Foxes Quickly Jump Over Lazy Dogs And Vex Mighty Wizards Near "
+    "Kyoto Park. /opt/data/work/files/old-ones, x.y_z "
+)
 #: Text on either side that primes the compressor.
 AROUND_CHARS = 400
 #: A candidate is reported if its marginal bytes reach this share of its characters.
@@ -88,15 +104,26 @@ def _size(data: str, known: zstandard.ZstdCompressionDict) -> int:
     return len(compressor.compress(data.encode()))
 
 
-def marginal_bytes(text: str, start: int, end: int) -> int:
+def _around(text: str, start: int, end: int, value: str) -> str:
+    """Text on either side, after and before, with copies of the value on other lines blanked out."""
+    wide, blank = AROUND_CHARS + len(value), " " * len(value)
+    before, line, own_before = text[max(0, start - wide) : start].rpartition("\n")
+    own_after, next_line, after = text[end : end + wide].partition("\n")
+    before = before.replace(value, blank) + line + own_before
+    after = own_after + next_line + after.replace(value, blank)
+    return after[:AROUND_CHARS] + before[-AROUND_CHARS:]
+
+
+def marginal_bytes(text: str, start: int, end: int, whole: tuple[int, int] | None = None) -> int:
     """Bytes that a string adds to the compressed text around it, identifiers as dictionary.
 
     The surrounding text stands in the same block, so the string's letters are coded by tables
-    that were paid for by the text, and what it repeats costs a reference.
+    that were paid for by the text, and what it repeats costs a reference. Text around a string
+    that is part of a `whole` is what surrounds the whole: the rest of a secret explains nothing.
     """
     known = zstandard.ZstdCompressionDict(_PRIMING, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    around = text[end : end + AROUND_CHARS] + text[max(0, start - AROUND_CHARS) : start]
-    around = IDENTIFIERS + " " + around
+    around = IDENTIFIERS + " " + ("" if re.search("[0-9]", text[start:end]) else PROSE)
+    around += _around(text, *(whole or (start, end)), text[start:end])
     return _size(around + text[start:end], known) - _size(around, known)
 
 
@@ -111,25 +138,91 @@ def _reach(text: str, start: int) -> int:
     return max(0, min(left, start - CONTEXT_CHARS))
 
 
+def _sensitive(text: str, start: int) -> bool:
+    """Whether a context word stands before a string on its line, or above it where its line just began."""
+    reach = _reach(text, start)
+    line = text.rfind("\n", reach, start) + 1
+    if _CONTEXT.search(text, max(line, reach), start):
+        return True
+    if not line:
+        return False
+    end = len(text[max(0, line - AROUND_CHARS) : line].rstrip()) + max(0, line - AROUND_CHARS)
+    above = max(text.rfind("\n", 0, end) + 1, end - AROUND_CHARS)
+    return not text.startswith("-----", above) and bool(_CONTEXT.search(text, above, end))
+
+
+def _joined_by_dots(text: str, found: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    """Candidates with the start and end of the dot-joined string that each is part of."""
+    heads, floor, head = [], 0, 0
+    for start, end in found:
+        own = start
+        while own > floor and text[own - 1] == ".":
+            left = own - 1
+            if left == floor and heads:
+                own = head
+                break
+            while left > floor and text[left - 1] in _PART:
+                left -= 1
+            if left == own - 1:
+                break
+            own = left
+        head, floor = own, end
+        heads.append(own)
+    tail, below = 0, len(text) + 1
+    tails = []
+    for start, end in reversed(found):
+        own = end
+        while own < below and text.startswith(".", own):
+            right = own + 1
+            if right == below:
+                own = tail
+                break
+            while right < min(below, len(text)) and text[right] in _PART:
+                right += 1
+            if right == own + 1:
+                break
+            own = right
+        tail, below = own, start
+        tails.append(own)
+    return ((a, b, head, tail) for (a, b), head, tail in zip(found, heads, reversed(tails)))
+
+
 def novel_spans(text: str, known: list[Span]) -> list[Span]:
-    """Incompressible strings in sensitive context that no known span touches."""
+    """Incompressible strings in sensitive context that no known span touches.
+
+    Context reaches from a private key's first line over its body, from a line to the values that
+    begin the next one, and over all parts of a dot-joined string.
+    """
     if not any(word in text.lower() for word in CONTEXT_WORDS):
         return []
     spans = []
-    for found in _CANDIDATE.finditer(text):
-        start, end = found.span()
-        value = found.group()
-        if not (re.search("[A-Za-z]", value) and re.search("[0-9]", value)):
-            continue
-        reach = _reach(text, start)
-        line = text.rfind("\n", reach, start) + 1
-        if not _CONTEXT.search(text, max(line, reach), start):
-            continue
-        if any(a < end and start < b for a, b, _ in known):
-            continue
-        if marginal_bytes(text, start, end) >= NOVELTY * (end - start):
+
+    def novel(start: int, end: int, whole: tuple[int, int]) -> bool:
+        if not re.search("[A-Za-z]", text[start:end]) or any(a < end and start < b for a, b, _ in known):
+            return False
+        return marginal_bytes(text, start, end, whole) >= NOVELTY * (end - start)
+
+    blocks = [(m.start(), *m.span(1)) for m in _BLOCK.finditer(text)]
+    for header, left, right in blocks:
+        key = False  # the short last line of a key is told by the line before it
+        for found in _BLOCK_PART.finditer(text, left, right):
+            start, end = found.span()
+            short = end - start < 16
+            if key and short and any(a < end and start < b for a, b, _ in known):
+                continue
+            key = key if short else novel(start, end, (header, right))
+            if key:
+                spans.append((start, end, "novel"))
+    found, place = [], 0
+    for match in _CANDIDATE.finditer(text):
+        while place < len(blocks) and blocks[place][2] <= match.start():
+            place += 1
+        if place == len(blocks) or match.start() < blocks[place][1]:
+            found.append(match.span())
+    for start, end, head, tail in _joined_by_dots(text, found):
+        if (_sensitive(text, start) or (head < start and _sensitive(text, head))) and novel(start, end, (head, tail)):
             spans.append((start, end, "novel"))
-    return spans
+    return sorted(spans)
 
 
 def joined(spans: list[Span]) -> str:

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 import zlib
@@ -157,6 +158,45 @@ def test_the_name_of_an_assignment_is_context(name):
     assert secrets.novel_spans(f"{name}session_default_connection_timeout_2", []) == []
 
 
+def test_secrets_repeated_on_other_lines_are_reported():
+    value = "Zx81kQpL0vNw72RtYb5eQq"
+    for between in ("\n", "\nname = x\n", "\n" + "a plain line of words\n" * 18):
+        text = f"auth: {value}{between}auth: {value}\n"
+        assert secrets.redacted(text, "#") == text.replace(value, "#")
+    assert secrets.novel_spans("session connection_timeout_2\n" * 2, []) == []
+
+
+@pytest.mark.parametrize("label", ["PRIVATE KEY", "RSA PRIVATE KEY"])
+def test_private_keys_are_redacted_whole(label):
+    rng = np.random.default_rng(5)
+    lines = [base64.b64encode(rng.bytes(n)).decode() for n in (48,) * 12 + (5,)]
+    for newline in ("\n", "\r\n"):
+        body = newline.join(lines)
+        text = f"intro{newline}-----BEGIN {label}-----{newline}{body}{newline}-----END {label}-----{newline}more plain words"
+        assert secrets.redacted(text, "#") == text.replace(body, newline.join("#" * 13))
+    cut = f"-----BEGIN {label}-----\n" + "\n".join(lines[:5])  # without its end mark
+    assert secrets.redacted(cut, "#") == f"-----BEGIN {label}-----\n" + "\n".join("#" * 5)
+
+
+def test_context_reaches_the_next_line_and_joined_parts():
+    rng = np.random.default_rng(6)
+    value = "Zx81kQpL0vNw72RtYb5eQq"
+    for before in ("The key of the service:\n", "secret\n\n  ", '{"name": "API_KEY",\n "value": "'):
+        assert secrets.redacted(before + value, "#") == before + "#"
+    assert secrets.novel_spans(f"the key\na plain line\n{value}", []) == []
+    parts = [b'{"alg":"HS256","typ":"JWT"}', b'{"sub":"8437201","iat":1716239022}', rng.bytes(32)]
+    jwt = ".".join(base64.urlsafe_b64encode(p).decode().rstrip("=") for p in parts)
+    assert secrets.redacted(f"Authorization: Bearer {jwt} end", "#") == "Authorization: Bearer #.#.# end"
+    chain = ".".join([value] * 3000)
+    assert len(secrets.novel_spans(f"no word {chain}", [])) == 0  # long chains take linear time
+
+
+def test_random_letters_are_measured_and_words_are_not_reported():
+    assert secrets.redacted("key: QvXzJkWpLmRtYbNcHgFdSaEi", "#") == "key: #"
+    for word in ("sessionConnectionTimeout", "default_connection_timeout", "/usr/local/share/doc", "internationalization", "Sicherheitsauthentifizierung"):
+        assert secrets.novel_spans(f"the key {word} and more", []) == []
+
+
 def test_redaction_and_odd_rows(odd_docs):
     rows = secrets.find_secrets(odd_docs).collect()
     assert len(rows) == 8
