@@ -3,8 +3,9 @@
 Each language of the corpus gets a reference made from all of its documents: the shares of character
 classes, and the shares of its most frequent short words. A document fails the base rules when it is
 too short or repeats itself, and fails the method when its own shares lie further than a threshold
-from every reference, by Jensen-Shannon distance (base 2, so between 0 and 1). Guards keep the
-distances from judging texts too short to have shares.
+from the references, by Jensen-Shannon distance (base 2, so between 0 and 1): its classes from all of
+them, its words from its own language's, or from all where that is unknown. Guards keep the distances from judging texts too short to have shares,
+and by references whose common words are too few to tell a text without any.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import BATCH_CHARS, by_chars, pick, slices, table, texts_of
@@ -73,8 +74,12 @@ class Limits:
 
 @dataclass
 class References:
-    """One row per language: class shares, and shares of its own common words and of all others."""
+    """One row per language: class shares, and shares of its own common words and of all others.
 
+    The language None stands for null and for all languages too rare for a row of their own.
+    """
+
+    langs: list[str | None]
     classes: np.ndarray
     words: list[dict[str, float]]
     others: np.ndarray
@@ -146,7 +151,7 @@ def language_references(
         merged.setdefault(row["lang"], Counter())[row["kind"], row["key"]] += row["n"]
     for row in small.collect():
         merged.setdefault(None, Counter())[row["kind"], row["key"]] += row["n"]
-    classes, words, others = [], [], []
+    langs, classes, words, others = [], [], [], []
     for lang in sorted(merged, key=lambda x: (x is None, x)):
         found = merged[lang]
         shares = np.array([found["class", str(c)] for c in range(CLASSES)], dtype=np.float64)
@@ -154,10 +159,11 @@ def language_references(
         if not n or not shares.sum():
             continue
         common = {key: k / n for (kind, key), k in found.items() if kind == "word"}
+        langs.append(lang)
         classes.append(shares / shares.sum())
         words.append(common)
         others.append(max(0.0, 1 - sum(common.values())))
-    return References(np.array(classes).reshape(-1, CLASSES), words, np.array(others))
+    return References(langs, np.array(classes).reshape(-1, CLASSES), words, np.array(others))
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -224,7 +230,40 @@ def repeated_words(numbers: np.ndarray, distinct: int) -> int:
     return int(covered.sum())
 
 
-def _measured(texts: list[str], store: _Words, references: References) -> pd.DataFrame:
+def _distances(
+    langs: list[str | None], shares: np.ndarray, hits: np.ndarray, store: _Words, references: References, limit: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Class and word distances of documents of some languages; 0 where there is nothing to judge by.
+
+    The class distance is the least from any reference, the word distance that from the own one. A
+    reference decides about words if a text without its common words lies beyond the limit. Null
+    is compared with all references that decide, and so are rare languages if the mixed one does.
+    """
+    place = {lang: i for i, lang in enumerate(references.langs) if lang is not None}
+    owner = np.array([-1 if lang is None else place.get(lang, -2) for lang in langs], dtype=np.int64)
+    class_distance, word_distance = (np.full(len(langs), np.inf) for _ in range(2))
+    mixed_decides = True
+    for i in reversed(range(len(references.langs))):  # the mixed reference first
+        rows = np.flatnonzero((owner == i) | (owner < 0))
+        class_distance = np.minimum(class_distance, divergence(shares, references.classes[i]))
+        names = sorted(references.words[i])
+        expected = np.array([references.words[i][name] for name in names] + [references.others[i]])
+        decides = divergence(np.eye(len(expected))[-1], expected) > limit
+        if references.langs[i] is None:
+            mixed_decides = decides
+        if not decides:
+            continue
+        if not mixed_decides:
+            rows = rows[owner[rows] != -2]
+        own = hits[np.ix_(rows, [store.columns[name] for name in names])]
+        own = np.column_stack([own, np.clip(1 - own.sum(axis=1), 0, 1)])
+        word_distance[rows] = np.minimum(word_distance[rows], divergence(own, expected))
+    return tuple(np.where(np.isinf(found), 0, found) for found in (class_distance, word_distance))
+
+
+def _measured(
+    texts: list[str], langs: list[str | None], store: _Words, references: References, limits: Limits
+) -> pd.DataFrame:
     split = [text.encode() for text in texts]
     words = [text.split() for text in split]
     flat = store.look_up([word for own in words for word in own])
@@ -247,17 +286,7 @@ def _measured(texts: list[str], store: _Words, references: References) -> pd.Dat
     counts = np.array(classes, dtype=np.float64).reshape(-1, CLASSES)
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     hits = np.array(common, dtype=np.float64).reshape(-1, width) / np.maximum(frame["n_words"].to_numpy(), 1)[:, None]
-    class_distance = np.ones(len(frame))
-    word_distance = np.ones(len(frame))
-    for reference, words_of, other in zip(references.classes, references.words, references.others):
-        class_distance = np.minimum(class_distance, divergence(shares, reference))
-        names = sorted(words_of)
-        own = hits[:, [store.columns[name] for name in names]]
-        own = np.column_stack([own, np.clip(1 - own.sum(axis=1), 0, 1)])
-        expected = np.array([words_of[name] for name in names] + [other])
-        word_distance = np.minimum(word_distance, divergence(own, expected))
-    if not len(references.words):
-        class_distance, word_distance = np.zeros(len(frame)), np.zeros(len(frame))
+    class_distance, word_distance = _distances(langs, shares, hits, store, references, limits.word_distance)
     frame["chars"] = counts.sum(axis=1).astype(np.int64)
     frame["class_distance"], frame["word_distance"] = class_distance, word_distance
     return frame
@@ -270,14 +299,18 @@ _MEASURES = (
 
 
 def measures(references: References, limits: Limits = Limits()):
-    """A function of a text column to its counts, distances and verdict, as one struct."""
+    """A function of a text and a language column to counts, distances and verdict, as one struct."""
 
     @F.pandas_udf(_MEASURES)
-    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         store = _Words(references)
-        for series in batches:
+        for series, lang in batches:
             texts = ["" if text is None else text for text in series]
-            parts = [_measured(own, store, references) for own in by_chars(texts, BATCH_CHARS)]
+            langs = [None if pd.isna(own) else own for own in lang]
+            parts, start = [], 0
+            for own in by_chars(texts, BATCH_CHARS):
+                parts.append(_measured(own, langs[start : start + len(own)], store, references, limits))
+                start += len(own)
             frame = pd.concat(parts, ignore_index=True)
             frame["base_failed"] = (frame["n_words"] < MIN_WORDS) | (
                 100 * frame["n_repeat_words"] > REPEAT_PERCENT * frame["n_words"]
@@ -290,6 +323,10 @@ def measures(references: References, limits: Limits = Limits()):
     return measure
 
 
+def _lang(lang_col: str | None) -> Column:
+    return (F.col(f"`{lang_col}`") if lang_col else F.lit(None)).cast("string")
+
+
 def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -300,19 +337,20 @@ def quality_rules(
     """Counts, distances and verdict of every row: `id_col` and the fields of `measures`.
 
     Null and empty texts have no words and fail the base rules. Rows with equal or null ids stay
-    separate; a null language is judged by the references like any other; other columns are
-    ignored; an empty table gives no rows.
+    separate; a null language is judged by all references; other columns are ignored; an empty
+    table gives no rows.
     """
     found = measures(language_references(docs, text_col, lang_col), limits)
-    return pick(docs, id_col, text_col).select(
-        F.col("c0").alias(id_col), found("c1").alias("found")
+    lang = _lang(lang_col).alias("lang")
+    return docs.select(F.col(f"`{id_col}`").alias("c0"), F.col(f"`{text_col}`").alias("c1"), lang).select(
+        F.col("c0").alias(id_col), found("c1", "lang").alias("found")
     ).select(f"`{id_col}`", "found.*")
 
 
 def kept_by_rules(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """The rows that pass, with all their columns."""
     found = measures(language_references(docs, text_col, lang_col))
-    return docs.where(found(F.col(f"`{text_col}`"))["kept"])
+    return docs.where(found(F.col(f"`{text_col}`"), _lang(lang_col))["kept"])
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

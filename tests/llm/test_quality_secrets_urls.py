@@ -55,6 +55,38 @@ def test_rules_on_odd_rows(odd_docs):
     assert quality_rules.quality_rules(odd_docs, lang_col=None).count() == 8
 
 
+@pytest.fixture(scope="module")
+def many_languages(spark):
+    """Good texts of a language with and one without spaces, of an inflecting one and of rare ones; junk."""
+    rng = np.random.default_rng(11)
+
+    def english():
+        common = ["the", "of", "and", "to", "in", "is", "it", "that", "was", "for"]
+        return " ".join(str(rng.choice(common)) if rng.random() < 0.5 else _word(rng, 8) for _ in range(300))
+
+    rows = [(i, english(), "en") for i in range(100)]
+    for i in range(100, 160):  # a sign at every tenth place parts the long runs
+        rows.append((i, " ".join("".join(map(chr, rng.integers(0x4E00, 0x9000, 10))) for _ in range(200)), "zh"))
+    rows += [(i, " ".join(_word(rng, 12) for _ in range(300)), "fi") for i in range(160, 200)]
+    rows += [(i, " ".join(_word(rng, 9) for _ in range(120)), f"rare{i}") for i in range(200, 203)]
+    rows += [(300 + i, " ".join(_word(rng, 8) for _ in range(300)), lang) for i, lang in enumerate(["en", "en", None])]
+    rows.append((400, english(), None))
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+
+
+def _word(rng, size):
+    return "".join(map(chr, rng.integers(97, 123, size)))
+
+
+def test_words_are_judged_by_the_own_language(many_languages, monkeypatch):
+    monkeypatch.setattr(quality_rules, "LANGUAGE_SHARE", 0.01)
+    rows = {r["doc_id"]: r for r in quality_rules.quality_rules(many_languages).collect()}
+    assert all(rows[i]["kept"] for i in range(203)) and rows[400]["kept"]
+    assert not any(rows[i]["kept"] or rows[i]["base_failed"] for i in (300, 301, 302))
+    kept = {r["doc_id"] for r in quality_rules.kept_by_rules(many_languages).collect()}
+    assert kept == {i for i, r in rows.items() if r["kept"]}
+
+
 @pytest.mark.parametrize("distinct", [5, 1 << 22])
 def test_repeated_words_with_few_and_many_numbers(distinct):
     numbers = np.array([1, 2, 3, 4, 1, 2, 3, 0, 0, 0, 0])
