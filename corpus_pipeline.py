@@ -39,9 +39,10 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Where several rows have one id, or none, ids can't tell them apart: they stay, once per text.
+    Rows that share an id are told apart by their class: of a group's rows with its smallest id, one
+    of the smallest class stays. Rows without an id, and texts without words, stay once per text.
     """
-    found = stage(jaccard.jaccard_components(docs, words=5, percent=80).drop("class"), "near_duplicates")
+    found = stage(jaccard.jaccard_classes(docs, words=5, percent=80), "near_duplicates")
     repeated = stage(found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL"), "repeated_ids")
     repeated = repeated.select(F.col("doc_id").alias("repeated_id"))
     copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id"))
@@ -50,7 +51,15 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     if repeated.isEmpty():
         return kept
     same = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
-    once = kept.join(small(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    first = found.where("doc_id IS NOT NULL AND class IS NOT NULL").groupBy("component")
+    first = first.agg(F.min(F.struct("doc_id", "class")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.class").alias("first_class"))
+    first = stage(first.join(repeated, F.col("first_id") == F.col("repeated_id"), "left_semi"), "first_rows")
+    rows = kept.join(small(repeated), same, "left_semi").withColumn("class_", jaccard.class_of(5)(F.col("text")))
+    by_text = F.col("doc_id").isNull() | F.col("class_").isNull()
+    chosen = (F.col("doc_id") == F.col("first_id")) & (F.col("class_") == F.col("first_class"))
+    once = rows.where(~by_text).join(small(first), chosen, "left_semi").dropDuplicates(["doc_id", "class_"])
+    once = once.unionByName(rows.where(by_text).dropDuplicates(["doc_id", "text"])).drop("class_")
     return kept.join(small(repeated), same, "left_anti").unionByName(once)
 
 

@@ -51,6 +51,14 @@ def test_near_duplicates_of_odd_rows(spark):
     assert corpus_pipeline.near_duplicates_stage(spark, docs.limit(0), FOLDER).count() == 0
 
 
+def test_near_duplicates_among_repeated_ids(spark):
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(1, a), (2, a.upper()), (2, a.upper()), (3, b), (3, b), (3, b), (4, b), (5, c), (5, "v w x y z"), (6, "V w x y z"), (6, c)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates_stage(spark, docs, FOLDER).collect()]
+    assert sorted(kept) == [(1, a), (3, b), (5, c), (5, "v w x y z")]
+
+
 def test_run_is_registered(spark):
     import __spark_entry__
 
