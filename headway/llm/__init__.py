@@ -3,6 +3,7 @@
 from headway.llm.jaccard import op7_jaccard
 from headway.llm.lattice import op2_segmentations
 from headway.llm.nearest import op3_nearest
+from headway.llm.negatives import OP12_SQL, op12_hard_negatives
 from headway.llm.packing import op4_packing
 from headway.llm.quality_classifier import op5_quality_classifier
 from headway.llm.quality_rules import op8_quality_rules
@@ -10,6 +11,7 @@ from headway.llm.secrets import op6_secrets
 from headway.llm.token_counts import op10_token_counts
 from headway.llm.url_filter import op9_url_filter
 from headway.llm.warc import op1_warc
+from headway.llm.word_bpe import op11_word_bpe
 
 QUERIES = {
     "op1_warc": op1_warc,
@@ -22,5 +24,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
+    "op11_word_bpe": op11_word_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_hard_negatives": OP12_SQL}

@@ -36,7 +36,7 @@ def cut(text: str, limit: int = CUT_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """Byte-level vocabularies write each byte as one character: visible ones as they are."""
     visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [byte for byte in range(256) if byte not in visible]
@@ -71,7 +71,7 @@ class ByteEncoder:
         import tiktoken
         from public_tokenizers import PATTERN
 
-        model, byte = parts["model"], _byte_alphabet()
+        model, byte = parts["model"], byte_alphabet()
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         ids = [model["vocab"][a + b] for a, b in merges]
         if ids != sorted(ids) or model.get("dropout") or model.get("ignore_merges"):
