@@ -3,6 +3,7 @@
 from headway.llm.jaccard import op7_jaccard
 from headway.llm.lattice import op2_segmentations
 from headway.llm.nearest import op3_nearest
+from headway.llm.merkle import OP13_SQL, op13_merkle_manifest
 from headway.llm.negatives import OP12_SQL, op12_hard_negatives
 from headway.llm.packing import op4_packing
 from headway.llm.quality_classifier import op5_quality_classifier
@@ -26,5 +27,6 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_word_bpe": op11_word_bpe,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-SQL: dict[str, str] = {"op12_hard_negatives": OP12_SQL}
+SQL: dict[str, str] = {"op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
