@@ -258,13 +258,14 @@ def _corr_sql(columns: list[str]) -> str:
 
 @register("correlation_matrix", _corr_sql(_CORR))
 def correlation_matrix(w: Warehouse):
-    matrix = stats.correlations(w.featured)
+    """Facts hold the row-level columns, the day dimension the others."""
+    matrix = stats.correlations(w.trips, _CORR, w.days)
     return matrix.withColumn("correlation", half_even(F.col("correlation"), 6))
 
 
 @register("correlation_short", _corr_sql(_CORR_SHORT))
 def correlation_short(w: Warehouse):
-    matrix = stats.correlations(w.featured, _CORR_SHORT)
+    matrix = stats.correlations(w.trips, _CORR_SHORT, w.days)
     return matrix.withColumn("correlation", half_even(F.col("correlation"), 6))
 
 

@@ -248,3 +248,85 @@ def test_any_measure_has_exact_medians_and_a_close_density(spark):
     width = frame["y"].std() * len(frame) ** -0.2
     exact = np.exp(-0.5 * ((curve["x"].to_numpy()[:, None] - frame["y"].to_numpy()) / width) ** 2).mean(axis=1) / (width * np.sqrt(2 * np.pi))
     assert np.abs(curve["density"] - exact).max() < exact.max() * 1e-3
+
+
+def test_correlations_of_the_star_equal_those_of_the_joined_rows(spark):
+    rng = np.random.default_rng(8)
+    days = pd.DataFrame({"date": range(40), "rain": rng.normal(1e9, 0.5, 40), "flag": 1, "wind": rng.normal(0, 3, 40)})
+    days.loc[::7, "rain"], days.loc[::5, "flag"] = None, None
+    rows = pd.DataFrame({"date": rng.integers(0, 44, 3000), "delay": rng.normal(50, 9, 3000), "hour": rng.integers(0, 24, 3000)})
+    rows.loc[::6, "delay"] = None
+    joined = rows.merge(days, on="date", how="left")
+    double = lambda df, *cs: df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in cs})
+    facts = double(spark.createDataFrame(rows), "delay").repartition(7)
+    far = double(spark.createDataFrame(days), "rain", "flag", "wind")
+    columns = ["rain", "delay", "flag", "hour", "wind"]
+    star = {(r[0], r[1]): r[2] for r in stats.correlations(facts, columns, far).collect()}
+    flat = double(spark.createDataFrame(joined), *columns).repartition(5)
+    flat = {(r[0], r[1]): r[2] for r in stats.correlations(flat, columns).collect()}
+    want = joined.assign(rain=joined["rain"] - 1e9)[columns].corr()  # exact, and easier on pandas
+    assert star.keys() == flat.keys() and len(star) == 25
+    for (a, b), value in star.items():
+        if "flag" in (a, b):
+            assert value is None and flat[a, b] is None  # constant wherever it is known
+        else:
+            assert value == pytest.approx(want.loc[a, b], abs=1e-8) and flat[a, b] == pytest.approx(value, abs=1e-8)
+
+
+def test_constants_stay_constant_over_many_partitions(spark):
+    df = spark.range(0, 3000).selectExpr("0.1D + 0.2D AS x", "CAST(id % 7 AS DOUBLE) AS y", "'g' AS g", "id % 2 AS s").repartition(16)
+    line = stats.trend_lines(df, ["x"], "g", "y").first()
+    assert line["slope"] is None and line["r2"] is None and line["points"] == 3000
+    flat = stats.trend_lines(df, ["y"], "g", "x").first()
+    assert flat["slope"] == 0.0 and flat["r2"] == 1.0 and flat["intercept"] == pytest.approx(0.3)
+    found = {(r[0], r[1]): r[2] for r in stats.correlations(df, ["x", "y"]).collect()}
+    assert found["x", "y"] is None and found["x", "x"] is None and found["y", "y"] == pytest.approx(1.0)
+    assert stats.welch(df, F.col("s") == 1, "x").first()["t"] is None
+    assert stats.density(df, "x").where("density IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [20, 300, 10_000])
+def test_two_scans_give_exact_quantiles_and_boxes(spark, accuracy):
+    rng = np.random.default_rng(5)
+    data = {"a": rng.normal(0, 1, 4000), "b": rng.lognormal(0, 2, 999), "c": np.array([3.5]), None: np.arange(50.0)}
+    data["a"][::3] = 7.25  # one value holds a third of a group
+    rows = [(g, float(v)) for g, vs in data.items() for v in vs] + [("empty", None)]
+    df = spark.createDataFrame(rows, "g string, y double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r["g"]: r for r in stats.group_quantiles(df, "g", "y", shares, accuracy).collect()}
+    boxes = {r["g"]: r for r in stats.box_stats(df, "g", "y", accuracy=accuracy).collect()}
+    assert set(got) == set(boxes) == set(data)
+    for g, vs in data.items():
+        assert got[g]["q"] == pytest.approx(list(np.quantile(vs, shares)), rel=1e-12, abs=1e-12)
+        assert got[g]["mean"] == pytest.approx(vs.mean()) and got[g]["records"] == len(vs)
+        q1, median, q3 = np.quantile(vs, [0.25, 0.5, 0.75])
+        inner = vs[(vs >= q1 - 1.5 * (q3 - q1)) & (vs <= q3 + 1.5 * (q3 - q1))]
+        box = [boxes[g][c] for c in ("q1", "median", "q3", "whisker_low", "whisker_high", "outliers")]
+        assert box == pytest.approx([q1, median, q3, inner.min(), inner.max(), len(vs) - len(inner)])
+
+
+def test_brackets_keep_a_small_share_of_a_large_group(spark):
+    df = spark.range(0, 200_000).selectExpr("1 AS g", "CAST(pmod(hash(id), 1000000007) AS DOUBLE) AS y")
+    brackets = stats._brackets(df, "g", "y", [0.5], 500)
+    kept = stats._cells(df, "g", "y", brackets).where("value IS NOT NULL")
+    assert 0 < kept.count() < 200_000 * 8 / 500
+
+
+def test_density_keeps_the_digits_of_large_values(spark):
+    v = np.array([1e9 + 0.01 * i for i in range(5)])
+    df = spark.createDataFrame([(float(x),) for x in v], "y double").repartition(3)
+    curve = stats.density(df, "y", points=5).orderBy("point").toPandas()
+    width = v.std(ddof=1) * 5**-0.2
+    exact = [np.exp(-0.5 * ((x - v) / width) ** 2).mean() / (width * math.sqrt(2 * math.pi)) for x in np.linspace(v[0], v[-1], 5)]
+    assert list(curve["density"]) == pytest.approx(exact, rel=1e-6)
+
+
+def test_density_of_far_apart_values_reaches_only_near_points(spark):
+    rows = [(float(i % 10) / 10,) for i in range(20_000)] + [(1e6,)]
+    df = spark.createDataFrame(rows, "y double").repartition(4)
+    curve = stats.density(df, "y", points=50).orderBy("point").collect()
+    frame = np.array([r[0] for r in rows])
+    width = frame.std(ddof=1) * len(frame) ** -0.2
+    for r in curve:
+        exact = np.exp(-0.5 * ((r["x"] - frame) / width) ** 2).mean() / (width * math.sqrt(2 * math.pi))
+        assert r["density"] == pytest.approx(exact, rel=1e-3, abs=1e-12)
