@@ -7,9 +7,11 @@ forecast has its own two queries.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from headway.catalog.registry import register
-from headway.catalog.sql import along_calendar, case, text, with_ctes
+from headway.catalog.sql import along_calendar, case, rounded, text, with_ctes
+from headway.functions.core import half_even
 from headway.operators import scenario, series
 from headway.plans.warehouse import Warehouse
 
@@ -105,6 +107,42 @@ def network_forecast(w: Warehouse):
     return series.reanchor(series.with_history(daily, steps), AS_OF)
 
 
+_WEIGHTS = (0.3, 0.1, 0.2)
+_SMOOTHED = """SELECT borough, CAST(any_value(days) AS INTEGER) AS days, sse, CAST(h AS INTEGER) AS step,
+  level + h * trend + season[CAST(h AS BIGINT)] AS delay FROM (
+  WITH RECURSIVE state AS (
+    SELECT borough, days, 0 AS i, m1 AS level, (m2 - m1) / 7 AS trend, list_transform(week, lambda v: v - m1) AS season,
+      CAST(0 AS DOUBLE) AS sse FROM opening
+    UNION ALL
+    SELECT borough, days, i + 1, level + trend + 0.3e0 * gap, trend + 0.3e0 * 0.1e0 * gap,
+      list_concat(season[2:7], [season[1] + 0.2e0 * gap]), sse + gap * gap FROM (
+      SELECT s.*, n.value - (s.level + s.trend) - s.season[1] AS gap FROM state AS s
+      JOIN placed AS n ON n.borough = s.borough AND n.i = s.i) AS seen)
+  SELECT * FROM state WHERE i = days) AS ended, range(1, 8) AS r(h) GROUP BY borough, sse, h, level, trend, season"""
+
+
+@register(
+    "hw_fixed_weights",
+    with_ctes(
+        f"SELECT borough, days, {rounded('sse', 4)} AS sse, step, {rounded('delay', 6)} AS delay FROM ({_SMOOTHED}) AS found "
+        "JOIN (SELECT 1 FROM opening LIMIT 1) AS needed ON true",
+        {
+            **SERIES,
+            "placed": "SELECT borough, value, row_number() OVER (PARTITION BY borough ORDER BY date) - 1 AS i, "
+            "count(*) OVER (PARTITION BY borough) AS days FROM filled",
+            "opening": "SELECT borough, any_value(days) AS days, avg(value) FILTER (WHERE i < 7) AS m1, "
+            "avg(value) FILTER (WHERE i >= 7 AND i < 14) AS m2, list(value ORDER BY i) FILTER (WHERE i < 7) AS week "
+            "FROM placed WHERE days >= 14 GROUP BY borough",
+        },
+    ),
+)
+def hw_fixed_weights(w: Warehouse):
+    """Smoothing with given weights, day by day, and the week that follows."""
+    found = series.smooth(w.borough_days, _WEIGHTS, BY).where("sse IS NOT NULL")
+    steps = found.select("borough", "days", half_even(F.col("sse"), 4).alias("sse"), F.posexplode("steps").alias("at", "delay"))
+    return steps.select("borough", "days", "sse", (F.col("at") + 1).alias("step"), half_even(F.col("delay"), 6).alias("delay"))
+
+
 @register("hw_grid_fit")
 def hw_grid_fit(w: Warehouse):
     """Weights, squared error and next week of every borough's series."""

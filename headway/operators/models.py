@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.core import HASH_RANGE, flag, portable_hash
 from headway.operators import metrics
-from headway.operators.balance import smote
+from headway.operators.balance import smote, smote_by_fold
 from headway.plans.staging import stage
 
 # Score columns, and whether more is better.
@@ -115,6 +115,44 @@ def cross_validate(
     return float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
 
 
+def resampled_folds(
+    train: DataFrame, features: list[str], key: str, folds: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """Vectors for cross-validation that oversamples inside each training part.
+
+    The first table holds the real rows with their `fold`; the second, for every `held_out` fold,
+    synthetic rows made of the other folds' rows alone.
+    """
+    named = train.select(key, "label", *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    real = stage(with_fold(named, key, folds), "folded")
+    made = smote_by_fold(real, "label", key, features)
+    weight = F.lit(1.0).alias("weight")  # both classes of a training part have the same size
+    vectors = assembler(features).transform(real).select(key, "fold", "label", "features", weight)
+    extra = assembler(features).transform(made).select(key, "held_out", "label", "features", weight)
+    return stage(vectors, "fold_vectors"), stage(extra, "made_vectors")
+
+
+def cross_validate_resampled(
+    model: Estimator, real: DataFrame, made: DataFrame, folds: int = 5
+) -> tuple[float, float]:
+    """Mean and population deviation of weighted F1 over folds of untouched rows.
+
+    `real` and `made` come from `resampled_folds`: no row that a fold is scored on, nor one made of
+    it, takes part in the fit.
+    """
+    evaluator = MulticlassClassificationEvaluator(metricName="f1")
+    scores = []
+    for fold in range(folds):
+        columns = ["label", "features", "weight"]
+        part = real.where(F.col("fold") != fold).select(columns)
+        part = part.unionByName(made.where(F.col("held_out") == fold).select(columns))
+        held = real.where(F.col("fold") == fold)
+        if not held.isEmpty():
+            scores.append(evaluator.evaluate(model.fit(part).transform(held)))
+    mean = sum(scores) / len(scores)
+    return mean, (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
+
+
 @dataclass
 class Comparison:
     """Scores of every model, the fitted models and the name of the best one."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -39,31 +41,47 @@ def _series_arrays(daily: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def fit_holt_winters(daily: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Additive trend and weekly season per series: the best smoothing weights, their squared error
-    and the next seven values. A series shorter than two weeks repeats its last week instead.
-
-    Series are fitted in parallel, one row each; a fit runs over all grid points at once.
-    """
-    series = _series_arrays(daily, by or [])
-    schema = T.StructType(
-        [
-            *[f for f in series.schema.fields if f.name != "values"],
-            T.StructField("days", T.IntegerType()),
-            *[T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma", "sse")],
-            T.StructField("steps", T.ArrayType(T.DoubleType())),
-        ]
-    )
+def _per_series(daily: DataFrame, by: list[str], fit: Callable[[Sequence[float]], dict], fields: list[T.StructField]) -> DataFrame:
+    """One row of `fit` per series, all series in parallel."""
+    series = _series_arrays(daily, by)
+    schema = T.StructType([*[f for f in series.schema.fields if f.name != "values"], *fields])
 
-    def fit(frames):
+    def run(frames):
         for frame in frames:
-            found = pd.DataFrame([smoothing.best_fit(v, HORIZON) for v in frame["values"]])
+            found = pd.DataFrame([fit(v) for v in frame["values"]], columns=[f.name for f in fields])
             yield pd.concat([frame.drop(columns="values").reset_index(drop=True), found], axis=1)
 
     # Few bytes but much work per row: a partition count given by hand is not merged by adaptive
     # execution, and hashing the hash makes it a shuffle of its own.
     parts = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return series.repartition(parts, F.xxhash64(*(by or ["series"]))).mapInPandas(fit, schema)
+    return series.repartition(parts, F.xxhash64(*(by or ["series"]))).mapInPandas(run, schema)
+
+
+def _numbers(*names: str) -> list[T.StructField]:
+    return [T.StructField(name, T.DoubleType()) for name in names]
+
+
+def _list(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.DoubleType()))
+
+
+DAYS = T.StructField("days", T.IntegerType())
+
+
+def fit_holt_winters(daily: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Additive trend and weekly season per series: the weights and starting states (level, trend,
+    the week's seven) of least squared error, that error, and the next seven values.
+
+    A series shorter than two weeks repeats its last week instead.
+    """
+    fields = [DAYS, *_numbers("alpha", "beta", "gamma", "sse"), _list("start"), _list("steps")]
+    return _per_series(daily, by or [], lambda v: smoothing.best_fit(v, HORIZON), fields)
+
+
+def smooth(daily: DataFrame, weights: tuple[float, float, float], by: list[str] | None = None) -> DataFrame:
+    """The same smoothing with given weights, from the first two weeks: error and next seven values."""
+    fields = [DAYS, *_numbers("sse"), _list("steps")]
+    return _per_series(daily, by or [], lambda v: smoothing.smoothed(v, weights, HORIZON), fields)
 
 
 def seasonal_naive(daily: DataFrame, by: list[str] | None = None) -> DataFrame:

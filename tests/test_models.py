@@ -53,6 +53,99 @@ def test_smote_balances_and_interpolates(spark):
     assert values(made) == values(balance.smote(df.repartition(3), "y", "id", ["a", "b"]))
 
 
+def test_boxes_stay_bounded_whatever_the_data(spark, monkeypatch):
+    """Small bounds force several rounds of cuts; equal values, a hot vector and one-hot rows included."""
+    for name, value in {"BOX_POINTS": 40, "TASK_ROWS": 64, "SAMPLE": 64, "ROUND_DEPTH": 2}.items():
+        monkeypatch.setattr(balance, name, value)
+    rng = np.random.default_rng(9)
+    points = {i: tuple(map(float, p)) for i, p in enumerate(rng.integers(0, 9, (400, 3)))}
+    points |= {1000 + i: (0.0, 1.0, float(i)) for i in range(150)}  # a single dimension varies
+    points |= {2000 + i: (5.0, 5.0, 5.0) for i in range(250)}
+    columns = ["a", "b", "c"]
+    df = spark.createDataFrame([(i, *p) for i, p in points.items()], "id long, a double, b double, c double").repartition(3)
+    boxed = balance.boxed(balance.distinct_points(df, "id", columns, 6))
+    sizes = [r["count"] for r in boxed.groupBy("box").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == len(set(points.values()))
+    assert boxed.agg(F.max("box")).first()[0] > 4, "no box was split a second time"
+    near = {r["id"]: [n["id"] for n in r["near"]] for r in balance.neighbours(df, "id", columns).collect()}
+    assert near == brute_force(points, 5)
+
+
+def test_neighbours_by_fold_leave_the_held_out_rows_aside(spark):
+    rng = np.random.default_rng(2)
+    points = {i: tuple(map(float, p)) for i, p in enumerate(rng.integers(0, 6, (180, 2)))}
+    df = spark.createDataFrame([(i, *p, i % 3) for i, p in points.items()], "id long, a double, b double, fold int")
+    found = balance.neighbours(df, "id", ["a", "b"], 5, "fold", [0, 1, 2]).collect()
+    near = {(r["id"], r["view"]): [n["id"] for n in r["near"]] for r in found}
+    assert len(near) == len(found) == 2 * 180
+    for view in range(3):
+        want = brute_force({i: p for i, p in points.items() if i % 3 != view}, 5)
+        assert {i: near[i, view] for i in want} == want
+
+
+def test_oversampling_by_fold_never_uses_held_out_rows(spark):
+    df = spark.range(0, 400).selectExpr(
+        "id", "CAST(id % 7 = 0 AS INT) AS label", "CAST(id % 23 AS DOUBLE) AS `a b`", "CAST(id % 11 AS DOUBLE) AS c"
+    )
+    folded = models.with_fold(df, "id").cache()
+    made = balance.smote_by_fold(folded, "label", "id", ["a b", "c"]).cache()
+    of = {r["id"]: r["fold"] for r in folded.collect()}
+    rows = made.collect()
+    assert {r["held_out"] for r in rows} == set(of.values())
+    assert all(of[r["id"]] != r["held_out"] != of[r["neighbour"]] and r["id"] != r["neighbour"] for r in rows)
+    assert len({(r["held_out"], r["id"], r["copy"]) for r in rows}) == len(rows)
+    for held in set(of.values()):
+        sizes = {v: folded.where(f"fold <> {held} AND label = {v}").count() for v in (0, 1)}
+        assert made.where(f"held_out = {held}").count() == sizes[0] - sizes[1]
+    alone = folded.where("fold <> 0").drop("fold")
+    one = balance.smote(alone, "label", "id", ["a b", "c"])
+    columns = ["id", "copy", "neighbour", "a b", "c"]
+    key = [F.col(f"`{c}`") for c in columns]
+    assert sorted(map(tuple, one.select(key).collect())) == sorted(map(tuple, made.where("held_out = 0").select(key).collect()))
+
+
+def test_scores_by_fold_are_those_of_untouched_rows(spark):
+    df = spark.range(0, 500).selectExpr(
+        "id", "CAST(pmod(hash(id), 5) = 0 AS INT) AS label", "CAST(pmod(hash(id), 5) + id % 2 AS DOUBLE) AS a"
+    )
+    real, made = models.resampled_folds(df, ["a"], "id")
+    model = models.classifiers(models.Size(iterations=20))["Logistic Regression"]
+    mean, deviation = models.cross_validate_resampled(model, real, made)
+    assert 0.8 < mean <= 1.0 and 0.0 <= deviation < 0.2
+    assert real.count() == 500 and made.where("label = 0").count() == 0
+
+
+def old_grid(values):
+    """Squared error of the best triple of a grid from the usual start, as a plain loop."""
+    best = np.inf
+    for a in np.arange(0.1, 0.95, 0.1):
+        for b in np.arange(0.1, 0.95, 0.1):
+            for g in np.arange(0.1, 0.95, 0.1):
+                first, second = values[:7], values[7:14]
+                level, trend, season, error = first.mean(), (second.mean() - first.mean()) / 7, list(first - first.mean()), 0.0
+                for i, v in enumerate(values):
+                    seen = v - level - trend - season[i % 7]
+                    error += seen**2
+                    new = a * (v - season[i % 7]) + (1 - a) * (level + trend)
+                    new_trend = b * (new - level) + (1 - b) * trend
+                    season[i % 7] = g * (v - level - trend) + (1 - g) * season[i % 7]
+                    level, trend = new, new_trend
+                best = min(best, error)
+    return best
+
+
+@pytest.mark.parametrize("days, noise", [(14, 1.0), (30, 3.0), (90, 5.0)])
+def test_estimated_starts_beat_the_grid_from_the_usual_start(days, noise):
+    values = np.array(planted(days)) + np.random.default_rng(days).normal(0, noise, days)
+    fit = smoothing.best_fit(values, 7)
+    assert fit["sse"] <= old_grid(values)
+    weights, start = np.array([fit[w] for w in ("alpha", "beta", "gamma")]), np.array(fit["start"])
+    rng = np.random.default_rng(1)
+    for _ in range(20):  # no other start does better with these weights
+        assert smoothing.run(values, weights, start + rng.normal(0, 0.5, 9))[0] >= fit["sse"] - 1e-9
+    assert smoothing.run(values, weights, start)[0] == pytest.approx(fit["sse"])
+
+
 def test_gap_fill_uses_each_series_own_calendar(frame):
     d = lambda n: dt.date(2023, 1, n)
     df = frame([("a", d(1), 4.0), ("a", d(1), 6.0), ("a", d(4), 9.0), ("b", d(2), 1.0)], "s string, date date, delay_minutes double")
