@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,27 +86,70 @@ def holiday_projection(w: Warehouse):
 )
 def csv_to_parquet(w: Warehouse):
     """Converts all three tables and counts the rows and moments of the Parquet side."""
+    tables, _ = _converted(w)
+    counted = None
+    for name, moment in _MOMENTS.items():
+        found = w.trips_raw.sparkSession.read.parquet(tables[name][1]).agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("records"),
+            F.countDistinct(moment).alias("moments"),
+        )
+        counted = found if counted is None else counted.union(found)
+    return counted
+
+
+_MOMENTS = {"trips": "created_on", "weather": "date", "events": "date"}
+
+
+@cache
+def _converted(w: Warehouse) -> tuple[dict[str, tuple[str, str, str]], DataFrame]:
+    """The three tables landed as CSV and converted: their paths, and the report."""
     spark = w.trips_raw.sparkSession
     weather_schema = "date DATE, " + ", ".join(f"{c} DOUBLE" for c in WEATHER_MEASURES)
-    tables, counted = {}, None
     sources = {
-        "trips": (w.trips_raw, TRIPS_SCHEMA, "created_on"),
-        "weather": (w.weather_raw, weather_schema, "date"),
-        "events": (w.events_raw, EVENTS_SCHEMA, "date"),
+        "trips": (w.trips_raw, TRIPS_SCHEMA),
+        "weather": (w.weather_raw, weather_schema),
+        "events": (w.events_raw, EVENTS_SCHEMA),
     }
-    for name, (df, schema, _) in sources.items():
+    tables = {}
+    for name, (df, schema) in sources.items():
         source, target = new_path(spark, f"{name}.csv"), new_path(spark, f"{name}.parquet")
         files.write_csv(df.select([part.split()[0] for part in schema.split(",")]), source)
         tables[name] = (source, target, schema)
-    files.csv_to_parquet(spark, tables)
-    for name, (_, _, moment) in sources.items():
-        found = spark.read.parquet(tables[name][1]).agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("records"),
-            F.countDistinct(moment).alias("moments"),
-        )
-        counted = found if counted is None else counted.union(found)
-    return counted
+    return tables, files.csv_to_parquet(spark, tables)
+
+
+@register(
+    "csv_size_report",
+    with_ctes(
+        "SELECT 'trips' AS table_name, count(*) AS records, CAST(0 AS BIGINT) AS bad_records, true AS smaller FROM trips_raw "
+        "UNION ALL SELECT 'weather', count(*), 0, true FROM weather_raw "
+        "UNION ALL SELECT 'events', count(*), 0, true FROM events_raw"
+    ),
+)
+def csv_size_report(w: Warehouse):
+    """What the conversion reports: rows, rows that did not fit, and whether Parquet takes less room."""
+    report = _converted(w)[1]
+    smaller = (F.col("parquet_bytes") < F.col("csv_bytes")).alias("smaller")
+    return report.select("table_name", "records", "bad_records", smaller)
+
+
+@register(
+    "csv_folder",
+    with_ctes(
+        "SELECT incident_id, borough, CASE WHEN incident_id % 3 = 2 THEN NULL ELSE delay_reason END AS delay_reason, "
+        "CASE WHEN incident_id % 3 = 0 THEN NULL ELSE route_id END AS route_id FROM trips_raw"
+    ),
+)
+def csv_folder(w: Warehouse):
+    """Incidents landed as files of three different headers, read as one table."""
+    folder = new_path(w.trips_raw.sparkSession, "mixed.csv")
+    headers = [["incident_id", "borough", "delay_reason"], ["route_id", "delay_reason", "borough", "incident_id"],
+               ["borough", "incident_id", "route_id"]]
+    for part, columns in enumerate(headers):
+        files.write_csv(w.trips_raw.where(F.col("incident_id") % 3 == part).select(columns), f"{folder}/part={part}")
+    schema = "incident_id BIGINT, borough STRING, delay_reason STRING, route_id STRING"
+    return files.read_csv_folder(w.trips_raw.sparkSession, f"{folder}/*", schema)
 
 
 _CALENDAR = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from headway.sources.schemas import HOLIDAY_SCHEMA, WEATHER_DOCUMENT_SCHEMA, WEA
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: str | None = None,
     multi_line: bool = False,
     bad_rows: str | None = None,
@@ -73,17 +73,89 @@ def _bytes_of(spark: SparkSession, path: str, kind: str, files: str = "part-*")
     return found.load(path).select(F.lit(kind).alias("kind"), "length")
 
 
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header) of every CSV file under a path: the first line of each, found in one scan.
+
+    Headers hold no line breaks.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = F.min_by("value", F.struct("block", "line")).alias("header")
+    return lines.where("block = 0").groupBy("file").agg(first)
+
+
+def read_csv_folder(
+    spark: SparkSession, path: str, schema: str | None = None, bad_rows: str | None = None, file: str | None = None
+) -> DataFrame:
+    """All CSV files under a path as one table, whatever columns each file has, in whatever order.
+
+    Files are grouped by header: one scan per distinct header, columns matched by name, null where a
+    file lacks one. With a schema its columns are returned; without one, the union of all columns,
+    as text where files disagree about a type. `bad_rows` names a column for the text of lines that
+    don't fit, `file` one for the file that a row is from. The list of files reaches the driver, as
+    for any scan.
+    """
+    found = csv_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_set("file")).alias("files"))
+    groups = [row["files"] for row in found.orderBy("header").collect()]
+    if not groups:
+        return spark.createDataFrame([], schema or "none STRING")
+    parts = []
+    for files in groups:
+        part = read_csv(spark, files, schema, bad_rows=bad_rows if schema else None)
+        if file:
+            part = part.withColumn(file, F.input_file_name())
+        parts.append(part)
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {name for name, own in kinds.items() if len(own) > 1}
+    parts = [p.withColumns({c: F.col(f"`{c}`").cast("string") for c in p.columns if c in mixed}) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def bad_rows_by_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(file, records, bad_records) of every file under a path that holds rows: one scan."""
+    rows = read_csv_folder(spark, path, schema, bad_rows="_bad", file="_file")
+    columns = [F.col(f"`{c}`") for c in rows.columns if c not in ("_bad", "_file")]
+    one = F.pmod(F.xxhash64(*columns), F.lit(1)) + 1  # a column that nothing reads is not parsed
+    return rows.groupBy(F.col("_file").alias("file")).agg(
+        F.sum(one).alias("records"), F.count("_bad").alias("bad_records")
+    )
+
+
 def csv_to_parquet(spark: SparkSession, tables: dict[str, tuple[str, str, str | None]]) -> DataFrame:
-    """Convert each `name: (csv path, parquet path, schema)`; report the bytes of both sides."""
+    """Convert each `name: (csv path, parquet path, schema)`, a file or a folder of files.
+
+    Reports per table the rows written and those that did not fit the schema (kept, with nulls),
+    counted while writing, and the bytes of both sides with their ratio.
+    """
     reports = []
     for name, (source, target, schema) in tables.items():
-        read_csv(spark, source, schema).write.option("compression", "snappy").parquet(target)
+        rows = read_csv_folder(spark, source, schema, bad_rows="_bad")
+        bad = F.count("_bad") if schema else F.sum(F.lit(0))
+        seen = Observation(f"rows of {name}")
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("records"), bad.alias("bad"))
+        rows.drop("_bad").write.option("compression", "snappy").parquet(target)
+        counts = seen.get
         both = _bytes_of(spark, source, "csv", "*").union(_bytes_of(spark, target, "parquet"))
         sums = [
             F.sum(F.when(F.col("kind") == kind, F.col("length"))).alias(f"{kind}_bytes")
             for kind in ("csv", "parquet")
         ]
-        reports.append(both.agg(*sums).select(F.lit(name).alias("table_name"), "csv_bytes", "parquet_bytes"))
+        reports.append(
+            both.agg(*sums).select(
+                F.lit(name).alias("table_name"),
+                F.lit(counts["records"]).cast("bigint").alias("records"),
+                F.lit(counts["bad"] or 0).cast("bigint").alias("bad_records"),
+                "csv_bytes",
+                "parquet_bytes",
+            )
+        )
     report = reduce(DataFrame.union, reports)
     return report.withColumn("size_ratio", ratio(F.col("parquet_bytes"), F.col("csv_bytes")))
 

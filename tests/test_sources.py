@@ -122,3 +122,30 @@ def test_a_folder_of_csv_files_is_converted(spark, tmp_path):
     assert set(rows) == {"one", "two"} and rows["one"]["csv_bytes"] == 12
     assert all(r["parquet_bytes"] > 0 and r["size_ratio"] > 0 for r in rows.values())
     assert values(spark.read.parquet(str(tmp_path / "one.parquet"))) == [(1, "x"), (2, "y")]
+
+
+def test_a_folder_of_three_headers_lands_in_full(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name,n\n1,x,3\n2,y,oops\n")
+    (folder / "b.csv").write_text("n,id\n7,4\n")
+    (folder / "c.csv").write_text('name,id,extra\n"a, b",5,q\nz,6,r\n')
+    (folder / "d.csv").write_text("id,name,n\n8,,9\n")
+    schema = "id long, name string, n int"
+    rows = files.read_csv_folder(spark, str(folder), schema)
+    assert values(rows, "id", "name", "n") == [
+        (1, "x", 3), (2, "y", None), (4, None, 7), (5, "a, b", None), (6, "z", None), (8, None, 9),
+    ]
+    by_file = {r["file"].rpartition("/")[2]: (r["records"], r["bad_records"]) for r in files.bad_rows_by_file(spark, str(folder), schema).collect()}
+    assert by_file == {"a.csv": (2, 1), "b.csv": (1, 0), "c.csv": (2, 0), "d.csv": (1, 0)}
+    report = files.csv_to_parquet(spark, {"t": (str(folder), str(tmp_path / "t.parquet"), schema)}).first()
+    assert (report["table_name"], report["records"], report["bad_records"]) == ("t", 6, 1)
+    assert spark.read.parquet(str(tmp_path / "t.parquet")).count() == 6
+
+
+def test_a_folder_without_a_schema_has_the_union_of_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,n\n1,3\n")
+    (tmp_path / "b.csv").write_text("n,other\nx,2.5\n")
+    rows = files.read_csv_folder(spark, str(tmp_path))
+    assert set(rows.columns) == {"id", "n", "other"} and dict(rows.dtypes)["n"] == "string"
+    assert values(rows, "id", "n", "other") == [(1, "3", None), (None, "x", 2.5)]
