@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -66,8 +69,8 @@ IDENTIFIERS = (
     "value variable version view void web window worker write"
 )
 _PRIMING = (IDENTIFIERS + " " + IDENTIFIERS.title().replace(" ", "") + "_" + IDENTIFIERS.replace(" ", "_")).encode()
-#: Words of no identifier, that letters alone are measured beside: in a short text they would be
-#: stored as they are, at a byte each, as random ones are.
+#: Words of no identifier, that strings are measured beside: alone, the letters of any string would be
+#: stored as they are, at a byte each.
 PROSE = (
     "We hold that most of what people write in plain words, of whatever tongue, uses few letters often and "
     "many seldom: Jeder Mensch braucht Zeit, um Neues zu verstehen; il faut du temps pour bien faire les "
@@ -76,8 +79,9 @@ PROSE = (
 )
 #: Text on either side that primes the compressor.
 AROUND_CHARS = 400
-#: A candidate is reported if its marginal bytes reach this share of its characters.
-NOVELTY = 0.75
+#: A candidate is reported if its marginal bytes reach this share of its characters. Of random strings
+#: of 16 to 40 letters and digits 97 % reach it, of names made of words 2 %, or with a number 10 %.
+NOVELTY = 0.79
 
 Span = tuple[int, int, str]
 
@@ -97,34 +101,43 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _size(data: str, known: zstandard.ZstdCompressionDict) -> int:
-    compressor = zstandard.ZstdCompressor(
-        level=19, dict_data=known, write_content_size=False, write_dict_id=False
-    )
-    return len(compressor.compress(data.encode()))
+@cache
+def _compressor() -> zstandard.ZstdCompressor:
+    known = zstandard.ZstdCompressionDict(_PRIMING, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False, write_dict_id=False)
+
+
+def _last_block(before: str, data: str) -> int:
+    """Compressed bytes of the data as a block of its own, after a block of the text before it."""
+    stream = _compressor().compressobj()
+    stream.compress(before.encode())
+    stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)
+    return len(stream.compress(data.encode())) + len(stream.flush())
 
 
-def _around(text: str, start: int, end: int, value: str) -> str:
-    """Text on either side, after and before, with copies of the value on other lines blanked out."""
-    wide, blank = AROUND_CHARS + len(value), " " * len(value)
-    before, line, own_before = text[max(0, start - wide) : start].rpartition("\n")
-    own_after, next_line, after = text[end : end + wide].partition("\n")
-    before = before.replace(value, blank) + line + own_before
-    after = own_after + next_line + after.replace(value, blank)
-    return after[:AROUND_CHARS] + before[-AROUND_CHARS:]
+def masked(text: str, known: list[Span]) -> str:
+    """The text with all that may be a secret blanked out, so that no secret explains another."""
+    spans = [(start, end) for start, end, _ in known]
+    spans += [m.span() for m in _CANDIDATE.finditer(text)] + [m.span(1) for m in _BLOCK.finditer(text)]
+    parts, done = [], 0
+    for start, end in sorted(spans):
+        if end > done:
+            start = max(start, done)
+            parts += [text[done:start], " " * (end - start)]
+            done = end
+    return "".join(parts) + text[done:]
 
 
-def marginal_bytes(text: str, start: int, end: int, whole: tuple[int, int] | None = None) -> int:
-    """Bytes that a string adds to the compressed text around it, identifiers as dictionary.
+def marginal_bytes(value: str, before: str, after: str) -> int:
+    """Bytes that a string adds beside prose, with identifiers and the text around it as dictionary.
 
-    The surrounding text stands in the same block, so the string's letters are coded by tables
-    that were paid for by the text, and what it repeats costs a reference. Text around a string
-    that is part of a `whole` is what surrounds the whole: the rest of a secret explains nothing.
+    What the string repeats of either costs a reference. The text around stands in a block before,
+    so that the code tables come from the prose, which is the same for every string, and not from
+    however much or little stands around it.
     """
-    known = zstandard.ZstdCompressionDict(_PRIMING, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    around = IDENTIFIERS + " " + ("" if re.search("[0-9]", text[start:end]) else PROSE)
-    around += _around(text, *(whole or (start, end)), text[start:end])
-    return _size(around + text[start:end], known) - _size(around, known)
+    value = value if re.search("[a-z]", value) else value.lower()  # CONSTANT_NAMES are words too
+    around = after[:AROUND_CHARS] + before[-AROUND_CHARS:]
+    return _last_block(around, PROSE + value) - _last_block(around, PROSE)
 
 
 def _reach(text: str, start: int) -> int:
@@ -196,11 +209,22 @@ def novel_spans(text: str, known: list[Span]) -> list[Span]:
     if not any(word in text.lower() for word in CONTEXT_WORDS):
         return []
     spans = []
+    blank = masked(text, known)
+    starts = [start for start, _, _ in known]
+    ends = list(accumulate((end for _, end, _ in known), max))  # furthest end so far
+
+    def touched(start: int, end: int) -> bool:
+        """Whether a known span overlaps: the last to begin before the end may not be the longest."""
+        place = bisect_left(starts, end)
+        return place > 0 and ends[place - 1] > start
 
     def novel(start: int, end: int, whole: tuple[int, int]) -> bool:
-        if not re.search("[A-Za-z]", text[start:end]) or any(a < end and start < b for a, b, _ in known):
+        value = text[start:end]
+        if not re.search("[A-Za-z]", value) or touched(start, end):
             return False
-        return marginal_bytes(text, start, end, whole) >= NOVELTY * (end - start)
+        left, right = whole  # the rest of a whole explains nothing either
+        before, after = blank[max(0, left - AROUND_CHARS) : left], blank[right : right + AROUND_CHARS]
+        return marginal_bytes(value, before, after) >= NOVELTY * (end - start)
 
     blocks = [(m.start(), *m.span(1)) for m in _BLOCK.finditer(text)]
     for header, left, right in blocks:
@@ -208,7 +232,7 @@ def novel_spans(text: str, known: list[Span]) -> list[Span]:
         for found in _BLOCK_PART.finditer(text, left, right):
             start, end = found.span()
             short = end - start < 16
-            if key and short and any(a < end and start < b for a, b, _ in known):
+            if key and short and touched(start, end):
                 continue
             key = key if short else novel(start, end, (header, right))
             if key:

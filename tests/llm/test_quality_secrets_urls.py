@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -170,7 +171,7 @@ def test_novel_strings_are_reported_and_names_are_not():
     assert secrets.joined(secrets.novel_spans(text, [])) == "novel:6:28"
     assert secrets.novel_spans("a plain line Zx81kQpL0vNw72RtYb5eQq", []) == []
     twice = "the key Zx81kQpL0vNw72RtYb5eQq again Zx81kQpL0vNw72RtYb5eQq"
-    assert secrets.novel_spans(twice, []) == []  # the text around already holds it
+    assert secrets.redacted(twice, "#") == "the key # again #"  # no copy explains another
 
 
 @pytest.mark.parametrize(
@@ -223,6 +224,58 @@ def test_context_reaches_the_next_line_and_joined_parts():
     assert len(secrets.novel_spans(f"no word {chain}", [])) == 0  # long chains take linear time
 
 
+ALPHABETS = {
+    "62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "36": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "16": "0123456789abcdef",
+}
+
+
+@pytest.mark.parametrize("lines", [1, 4, 12, 50])
+@pytest.mark.parametrize("beside", ["", " # " + "0f" * 16])
+def test_secrets_do_not_hide_one_another(lines, beside):
+    """Files of one to fifty random values: nearly all are found, whatever stands beside them."""
+    rng = np.random.default_rng(lines)
+    found = made = 0
+    for letters in ALPHABETS.values():
+        for size in (16, 20, 32, 40):
+            for _ in range(max(1, 24 // lines)):
+                values = ["".join(rng.choice(list(letters), size)) for _ in range(lines)]
+                text = "\n".join(f"export NAME{i}_KEY={v}{beside}" for i, v in enumerate(values))
+                base = secrets.base_spans(text)
+                spans = {(a, b) for a, b, _ in base + secrets.novel_spans(text, base)}
+                made += lines
+                found += sum(any(a <= text.index(v) and b >= text.index(v) + size for a, b in spans) for v in values)
+    assert found >= 0.95 * made
+
+
+def test_names_are_seldom_reported():
+    words = "account limit window header policy daily region cluster border retry shadow river bottle ladder purple silent market orange winter garden".split()
+    rng = np.random.default_rng(3)
+    wrong = {False: [], True: []}
+    for _ in range(400):
+        parts = [str(w) for w in rng.choice(words, rng.integers(3, 6))]
+        name = [" ".join(parts).replace(" ", "_"), "-".join(parts), "".join(w.title() for w in parts), "_".join(parts).upper()][rng.integers(4)]
+        numbered = bool(rng.random() < 0.4)
+        name += str(rng.integers(1, 99)) if numbered else ""
+        wrong[numbered].append(bool(secrets.novel_spans(f"the key is {name} here", [])))
+    assert np.mean(wrong[False]) <= 0.02 and np.mean(wrong[True]) <= 0.15
+
+
+def test_time_follows_the_number_of_secrets():
+    rng = np.random.default_rng(4)
+    lines = ["".join(rng.choice(list(ALPHABETS["62"]), 24)) for _ in range(3000)]
+    took = []
+    for n in (500, 3000):
+        text = "\n".join(f"export A_KEY={v} # {'0f' * 16}" for v in lines[:n])
+        base, start = secrets.base_spans(text), time.process_time()
+        assert len(secrets.novel_spans(text, base)) >= 0.95 * n
+        took.append(time.process_time() - start)
+    assert took[1] < 12 * took[0]
+
+
 def test_random_letters_are_measured_and_words_are_not_reported():
     assert secrets.redacted("key: QvXzJkWpLmRtYbNcHgFdSaEi", "#") == "key: #"
     for word in ("sessionConnectionTimeout", "default_connection_timeout", "/usr/local/share/doc", "internationalization", "Sicherheitsauthentifizierung"):
