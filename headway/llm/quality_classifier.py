@@ -29,10 +29,11 @@ FOLDS = 5
 BLOCK_BYTES = 2048
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-#: Training reads at most this many labelled documents of each class, chosen by the hash of their
-#: id, and at most so many blocks of each: 33 MB in all. Every document is scored whole.
+#: Training reads at most this many labelled documents of each class, chosen by the hash of their id,
+#: and of each at most so many blocks (32 KB), spread evenly over a longer text. Both are parameters
+#: of `train`. Every document is scored whole.
 SAMPLE_DOCS = 2000
-SAMPLE_BLOCKS = 4
+SAMPLE_BLOCKS = 16
 #: A text of so many bytes counts as half the evidence of a very long one.
 HALF_BYTES = 200
 
@@ -119,10 +120,15 @@ def _known(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     return seen.agg(F.min(label).alias("label"), F.min(F.xxhash64(key)).alias("place")).where("label IN (0, 1)")
 
 
-def _sample(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> list[tuple[int, list[bytes]]]:
-    """(label, blocks) of the sampled documents, in the order of their ids' hashes."""
+def _sample(
+    docs: DataFrame, known: DataFrame, id_col: str, text_col: str, most_docs: int, most_blocks: int
+) -> list[tuple[int, list[bytes]]]:
+    """(label, blocks) of the sampled documents, in the order of their ids' hashes.
+
+    Of rows that share an id, the text with the smallest hash counts, whatever the partitions.
+    """
     bad, good = (
-        known.where(F.col("label") == label).orderBy("place", "c0").limit(SAMPLE_DOCS) for label in (0, 1)
+        known.where(F.col("label") == label).orderBy("place", "c0").limit(most_docs) for label in (0, 1)
     )
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +136,14 @@ def _sample(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> li
             kept = []
             for text in batch.column("c1").to_pylist():
                 blocks = blocks_of((text or "").encode())
-                kept.append(blocks[:: max(1, math.ceil(len(blocks) / SAMPLE_BLOCKS))])
+                kept.append(blocks[:: max(1, math.ceil(len(blocks) / most_blocks))])
             arrays = [batch.column("label"), batch.column("place"), pa.array(kept, pa.list_(pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["label", "place", "blocks"])
 
-    # At most 2 * SAMPLE_DOCS ids, so the small side is broadcast.
+    # At most 2 * most_docs ids, so the small side is broadcast.
     texts = pick(docs, id_col, text_col).join(F.broadcast(good.unionByName(bad)), "c0")
-    rows = texts.dropDuplicates(["c0"]).select("c1", "label", "place")
+    one = F.min(F.struct(F.sha2("c1", 256), "c1", "label", "place")).alias("one")
+    rows = texts.groupBy("c0").agg(one).select("one.c1", "one.label", "one.place")
     rows = rows.mapInArrow(cut, "label INT, place BIGINT, blocks ARRAY<BINARY>").collect()
     found = [(int(r["label"]), r["place"], [bytes(b) for b in r["blocks"]]) for r in rows]
     return [(label, blocks) for label, _, blocks in sorted(found, key=lambda x: (x[1], x[2]))]
@@ -148,9 +155,12 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    most_docs: int = SAMPLE_DOCS,
+    most_blocks: int = SAMPLE_BLOCKS,
 ) -> Model:
     """Dictionaries from one half of the sample of each class, calibration on the other half.
 
+    The sample has at most `most_docs` documents of each class and `most_blocks` blocks of each.
     Classes are sampled alike, so the calibration weights each by how many labels it has. Without
     an example of both classes, every score is near the only label, or one half.
     """
@@ -159,7 +169,7 @@ def train(
     halves = {}
     for label in (0, 1):
         halves[label] = [], []
-    for label, blocks in _sample(docs, known, id_col, text_col):
+    for label, blocks in _sample(docs, known, id_col, text_col, most_docs, most_blocks):
         own = halves[label]
         own[len(own[0]) > len(own[1])].append(blocks)
     if not all(any(map(len, halves[k][0])) for k in (0, 1)):

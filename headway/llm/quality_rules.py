@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import BATCH_CHARS, by_chars, pick, slices, table, texts_of
+from headway.plans.staging import stage
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -134,7 +135,7 @@ def language_references(
         rows = rows.withColumn("c1", F.col("c1").cast("string"))
     schema = "lang STRING, kind STRING, key STRING, n BIGINT"
     counts = rows.mapInArrow(_corpus_counts(lang_col is not None), schema)
-    counts = counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    counts = stage(counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "rule_counts")
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
     top = counts.withColumn("rank", rank).where(f"rank <= {COMMON_WORDS}").drop("rank")
     total = Window.partitionBy()
@@ -178,7 +179,7 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class _Words:
     """Numbers for words, and each word's place among the common words of all references."""
 
-    KEPT = 1 << 20
+    KEPT = 1 << 18
 
     def __init__(self, references: References) -> None:
         names = sorted({w for words in references.words for w in words})

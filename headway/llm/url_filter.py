@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and a model of character n-grams (9).
 
 The longest fitting rule decides. Where none fits, logistic regression on hashed character n-grams of
-host and path decides, trained from a small labelled table of URLs.
+host and path decides, trained from a small labelled table of URLs (`url_labels`, or one's own).
 """
 
 from __future__ import annotations
@@ -17,35 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.common import pick, slices, table, texts_of
-
-#: The labelled URLs the model learns from: hosts and paths to allow and to block.
-ALLOWED = (
-    "blog.morning.example.org/en/853/", "www.rivers.example.org/fr/471", "news.garden.example.com/en/12.html",
-    "m.station.example.net/de/25", "history.museum.example.org/en/960", "docs.project.example.net/guide/install",
-    "en.wiki.example.org/wiki/Ocean", "weather.city.example.com/es/978", "www.library.example.org/catalog/334/",
-    "school.math.example.net/lessons/18", "recipes.kitchen.example.com/fr/414", "forum.garden.example.org/t/6120",
-    "www.theatre.example.com/de/65.html", "blog.tides.example.net/en/369", "journal.science.example.org/article/88",
-    "www.council.example.org/en/minutes/2020", "travel.north.example.com/es/533/", "support.device.example.net/faq/7",
-    "www.bakery.example.com/en/about", "archive.letters.example.org/1904/march", "ththen.example.org/en/148.html",
-    "www.adventure.example.org/en/20", "free-library.example.org/books", "winter-farm.example.net/en/4",
-    "track-and-field.example.com/en/31", "blog.better.example.org/de/9", "x-ray-clinic.example.net/en/5",
-    "blog.therand.example.org/en/777", "thering.example.net/de/612", "www.therti.example.org/fr/618/",
-)
-BLOCKED = (
-    "www.cheap-pills.example.com/en/450", "cheap-pills.example.org/buy", "spam-farm.example.org/en/728",
-    "spam-farm.example.net/links/99", "free-casino.example.com/bonus", "online-casino-win.example.net/slots",
-    "hot-singles.example.org/chat-now", "adult-cams.example.com/live", "xxx-video.example.net/watch/4",
-    "buy-viagra-cheap.example.org/order", "cheap-meds.example.net/pills", "payday-loans-fast.example.com/apply",
-    "win-free-prize.example.org/claim", "click-bait.example.net/win/iphone", "seo-links-farm.example.com/page/3",
-    "ads-server.example.net/track/pixel", "click-track.example.org/ads", "banner-ads.example.com/en/3",
-    "sports-bets.example.com/free/odds", "casino-royal.example.org/en/7", "adult-chat.example.net/fr/12",
-    "replica-watches.example.org/sale", "torrent-crack.example.net/keygen", "warez-download.example.com/serial",
-    "porn-tube.example.org/free", "betting-bonus.example.net/jackpot", "lottery-winner.example.com/prize",
-    "spam.example.net/spam/spam", "fake-bags-cheap.example.org/discount", "get-rich-quick.example.com/money",
-)
+from headway.llm.url_labels import ALLOWED, BLOCKED
 
 DIMENSIONS = 1 << 14
-GRAMS = (3, 4, 5)
+GRAMS = (2, 3, 4)
+#: First labels that sites of every kind have; like the last label, they say nothing.
+COMMON_LABELS = ("www", "m", "blog")
 THRESHOLD = 0.6
 
 #: (verdict, host, path): a rule fits its host, all subdomains, and paths that begin with its path.
@@ -79,8 +56,12 @@ def rule_for(host: str, path: str, rules: Sequence[tuple[str, str, str]]) -> tup
 
 def grams(host: str, path: str) -> np.ndarray:
     """Hashed n-grams of host and path, each in its own half of the dimensions."""
+    labels = host.split(".")
+    labels = labels[:-1] or labels
+    if len(labels) > 1 and labels[0] in COMMON_LABELS:
+        labels = labels[1:]
     half, found = DIMENSIONS // 2, set()
-    for part, offset in (("^" + host + "$", 0), ("^" + path + "$", half)):
+    for part, offset in (("^" + ".".join(labels) + "$", 0), ("^" + path + "$", half)):
         for n in GRAMS:
             for i in range(len(part) - n + 1):
                 found.add(offset + crc32(part[i : i + n].encode()) % half)
