@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from headway.catalog.registry import register
 from headway.catalog.sql import recurring_select, seed_values, with_ctes
 from headway.operators import clean
+from headway.plans.durable import DurableWarehouse, refresh
 from headway.plans.staging import new_path
 from headway.plans.warehouse import Warehouse
 from headway.sources import files, generators
@@ -212,3 +213,16 @@ def export_head(w: Warehouse):
     files.export_head(columns, ["date", "hour", "incident_id"], path)
     schema = "incident_id BIGINT, date DATE, hour INT, borough STRING, delay_minutes DOUBLE"
     return files.read_csv(spark, path, schema)
+
+
+@register(
+    "warehouse_months",
+    with_ctes("SELECT strftime(date, '%Y-%m') AS month, count(*) AS records FROM trips GROUP BY strftime(date, '%Y-%m')"),
+)
+def warehouse_months(w: Warehouse):
+    """Incidents per month of a warehouse written to a named path and opened there again."""
+    spark = w.trips_raw.sparkSession
+    path = new_path(spark, "warehouse")
+    refresh(path, w.trips_raw, w.weather_raw, w.events_raw)
+    months = DurableWarehouse(spark, path).facts.groupBy(F.col("date_month").alias("month"))
+    return months.agg(F.count("*").alias("records"))

@@ -20,6 +20,7 @@ BUCKET_MINUTES = {
 CATEGORY_LIMITS = [(15, "Minor"), (30, "Moderate"), (60, "Major")]
 CATEGORY_ABOVE = "Severe"
 
+# Longer delays count as delayed; the hour of an incident without a time.
 DELAYED_ABOVE = 15
 MISSING_HOUR = 8
 

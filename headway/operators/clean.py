@@ -64,16 +64,27 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
 
-def clean_trips(raw: DataFrame) -> DataFrame:
-    """Incident records to one clean row per incident.
+def _dated(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
+        {"created_on": as_timestamp(raw, "created_on"), "occurred_on": as_timestamp(raw, "occurred_on")}
+    ).where(F.col("created_on").isNotNull())
+
+
+def typical_delay(raw: DataFrame) -> DataFrame:
+    """The median delay over all dated records, duplicates included: one row.
 
-    The fill value for missing delays is the median over all dated records, duplicates included.
     Delays take as many values as there are buckets, so the exact median merges tiny histograms.
     """
-    dated = raw.withColumns(
-        {"created_on": as_timestamp(raw, "created_on"), "occurred_on": as_timestamp(raw, "occurred_on")}
-    ).where(F.col("created_on").isNotNull())
-    typical = dated.agg(F.median(delay.bucket_minutes(F.col("delay_description")))).scalar()
+    return _dated(raw).agg(F.median(delay.bucket_minutes(F.col("delay_description"))).alias("typical"))
+
+
+def clean_trips(raw: DataFrame, typical: Column | None = None) -> DataFrame:
+    """Incident records to one clean row per incident.
+
+    Missing delays are filled with `typical`, else with the `typical_delay` of these records.
+    """
+    dated = _dated(raw)
+    typical = typical_delay(raw).scalar() if typical is None else typical
 
     others = [c for c in dated.columns if c not in ("incident_id", "created_on")]
     order = [F.col("created_on").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in others]]

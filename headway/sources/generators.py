@@ -1,4 +1,4 @@
-"""Calendar, recurring events and the seed list of one-off events."""
+"""Calendar, recurring events and a seed calendar of one-off events."""
 
 from __future__ import annotations
 
@@ -8,44 +8,32 @@ from pyspark.sql import functions as F
 from headway.functions.core import first_match
 from headway.sources.schemas import EVENTS_SCHEMA
 
-# One-off city events (date, name, type, expected attendance, impact level).
+# One-off events of our own: month, day, name, type, expected attendance, impact level.
+CITY_CALENDAR = [
+    (1, 20, "Winter Lights Walk", "Festival", 18000, "Medium"),
+    (2, 3, "Frozen Harbor Regatta", "Sports", 12000, "Low"),
+    (2, 24, "Indoor Athletics Open", "Sports", 9000, "Low"),
+    (3, 9, "Bridge Half Marathon", "Sports", 26000, "Medium"),
+    (3, 30, "Spring Garden Show", "Festival", 22000, "Medium"),
+    (4, 13, "Book Fair on the Square", "Festival", 14000, "Low"),
+    (4, 27, "Cherry Tree Parade", "Parade", 45000, "High"),
+    (5, 11, "Five Parks Cycle Tour", "Sports", 32000, "High"),
+    (5, 25, "Fleet Visit", "Festival", 70000, "High"),
+    (6, 15, "Riverside Jazz Night", "Concert", 24000, "Medium"),
+    (7, 6, "Open Air Opera", "Concert", 38000, "High"),
+    (7, 27, "Street Food Weekend", "Festival", 41000, "Medium"),
+    (8, 17, "Beach Volleyball Finals", "Sports", 11000, "Low"),
+    (9, 7, "Back to School March", "Parade", 16000, "Medium"),
+    (9, 21, "Car Free Day", "Festival", 90000, "High"),
+    (10, 19, "Lantern Parade", "Parade", 52000, "High"),
+    (11, 9, "Film Week Opening", "Concert", 8000, "Low"),
+    (12, 14, "Toy Drive Run", "Sports", 15000, "Medium"),
+]
+SEED_YEARS = (2023, 2024)
+
+#: The calendar in each of the years, as (date, name, type, expected attendance, impact level).
 SEED_EVENTS = [
-    ("2023-01-01", "New Year's Day Celebrations", "Festival", 100000, "High"),
-    ("2023-01-16", "MLK Day March", "Parade", 20000, "Medium"),
-    ("2023-02-12", "Super Bowl Sunday", "Sports", 50000, "High"),
-    ("2023-03-17", "St. Patrick's Day Parade", "Parade", 150000, "High"),
-    ("2023-04-17", "NYC Marathon Training Run", "Sports", 30000, "Medium"),
-    ("2023-05-29", "Memorial Day Parade", "Parade", 40000, "High"),
-    ("2023-06-11", "Puerto Rican Day Parade", "Parade", 80000, "High"),
-    ("2023-06-25", "NYC Pride March", "Parade", 100000, "High"),
-    ("2023-07-04", "Independence Day Fireworks", "Festival", 200000, "High"),
-    ("2023-07-15", "BRIC Celebrate Brooklyn Festival", "Concert", 15000, "Medium"),
-    ("2023-08-12", "Summer Streets Festival", "Festival", 60000, "High"),
-    ("2023-08-28", "US Open Tennis Start", "Sports", 40000, "High"),
-    ("2023-09-04", "Labor Day Parade", "Parade", 30000, "Medium"),
-    ("2023-09-17", "NFL Season - Giants/Jets Game", "Sports", 82000, "High"),
-    ("2023-10-09", "Columbus Day Parade", "Parade", 35000, "Medium"),
-    ("2023-10-31", "Village Halloween Parade", "Festival", 60000, "High"),
-    ("2023-11-05", "NYC Marathon", "Sports", 50000, "High"),
-    ("2023-11-23", "Macy's Thanksgiving Parade", "Parade", 250000, "High"),
-    ("2023-12-31", "Times Square New Year's Eve", "Festival", 300000, "High"),
-    ("2024-01-01", "New Year's Day Celebrations", "Festival", 100000, "High"),
-    ("2024-02-11", "Super Bowl Sunday", "Sports", 50000, "High"),
-    ("2024-02-10", "Lunar New Year Parade", "Parade", 60000, "High"),
-    ("2024-03-17", "St. Patrick's Day Parade", "Parade", 150000, "High"),
-    ("2024-04-21", "Earth Day Festival", "Festival", 20000, "Medium"),
-    ("2024-05-27", "Memorial Day Parade", "Parade", 40000, "High"),
-    ("2024-06-09", "Puerto Rican Day Parade", "Parade", 80000, "High"),
-    ("2024-06-30", "NYC Pride March", "Parade", 100000, "High"),
-    ("2024-07-04", "Independence Day Fireworks", "Festival", 200000, "High"),
-    ("2024-08-10", "Summer Streets Festival", "Festival", 60000, "High"),
-    ("2024-08-26", "US Open Tennis Start", "Sports", 40000, "High"),
-    ("2024-09-02", "Labor Day Parade", "Parade", 30000, "Medium"),
-    ("2024-10-14", "Columbus Day Parade", "Parade", 35000, "Medium"),
-    ("2024-10-31", "Village Halloween Parade", "Festival", 60000, "High"),
-    ("2024-11-03", "NYC Marathon", "Sports", 50000, "High"),
-    ("2024-11-28", "Macy's Thanksgiving Parade", "Parade", 250000, "High"),
-    ("2024-12-31", "Times Square New Year's Eve", "Festival", 300000, "High"),
+    (f"{year}-{month:02}-{day:02}", *event) for year in SEED_YEARS for month, day, *event in CITY_CALENDAR
 ]
 
 # The two recurring series: months, weekdays (Monday = 0), name, attendance, impact.
