@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -21,6 +22,17 @@ def pick(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(columns)))
 
 
+def release() -> None:
+    """Give memory that earlier tasks of this worker no longer use back to the system.
+
+    Workers live on between the stages of a job, and an executor's limit counts all of them.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of a column; null counts as empty."""
     return ["" if text is None else text for text in column.to_pylist()]
@@ -44,6 +56,7 @@ def slices(
     batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_CHARS
 ) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose `column` of texts holds about `limit` characters."""
+    release()
     for batch in batches:
         start = 0
         for texts in by_chars(texts_of(batch.column(column)), limit):

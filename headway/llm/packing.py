@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import pick, slices, table, texts_of
+from headway.llm.common import pick, release, slices, table, texts_of
 from headway.llm.tokens import encoder, vocabulary
 from headway.plans.staging import new_path
 
@@ -240,8 +240,10 @@ def pack(
     piece = "array<struct<start:bigint,length:bigint,sequence_id:bigint,offset:bigint>>"
 
     @F.pandas_udf(piece)
-    def tails(tail: pd.Series, rank: pd.Series) -> pd.Series:
-        return pd.Series([plan.place(int(n), int(r)) for n, r in zip(tail, rank)])
+    def tails(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        release()
+        for tail, rank in batches:
+            yield pd.Series([plan.place(int(n), int(r)) for n, r in zip(tail, rank)])
 
     full = F.expr(f"doc_tokens div {size}")
     placed = rows.join(ranks, F.col("part") == F.col("of_part")).select(

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import pick, table
+from headway.llm.common import pick, release, table
 
 THRESHOLD = 0.3
 FOLDS = 5
@@ -189,6 +189,7 @@ def scores(model: Model):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         difference = Differences(model.good, model.bad) if model.good is not None else None
         for series in batches:
             found = [

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import BATCH_CHARS, by_chars, pick, slices, table, texts_of
+from headway.llm.common import BATCH_CHARS, by_chars, pick, release, slices, table, texts_of
 from headway.plans.staging import stage
 
 MIN_WORDS = 50
@@ -304,6 +304,7 @@ def measures(references: References, limits: Limits = Limits()):
 
     @F.pandas_udf(_MEASURES)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        release()
         store = _Words(references)
         for series, lang in batches:
             texts = ["" if text is None else text for text in series]

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import pick, slices, table, texts_of
+from headway.llm.common import pick, release, slices, table, texts_of
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -299,8 +299,10 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "<secret>") -> D
     """All rows and columns, secrets in `text_col` replaced by `mark`; null texts stay null."""
 
     @F.pandas_udf("string")
-    def clean(series: pd.Series) -> pd.Series:
-        return series.map(lambda text: None if text is None else redacted(text, mark))
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
+        for series in batches:
+            yield series.map(lambda text: None if text is None else redacted(text, mark))
 
     return docs.withColumn(text_col, clean(F.col(f"`{text_col}`")))
 
