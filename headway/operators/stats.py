@@ -1,7 +1,7 @@
 """Aggregates and statistics over featured rows.
 
-Exact quantiles and box plots start from value counts: one scan of the rows, combined before the
-shuffle, and every later step works on the counts. Histograms and densities count by bin.
+Exact quantiles and box plots take two scans: a bounded summary brackets the values wanted, and only
+values inside the brackets are kept. Histograms and densities count by bin.
 """
 
 from __future__ import annotations
@@ -138,11 +138,6 @@ def labelled_summary(
     return found.withColumn(by, first_match([(F.col(by) == k, v) for k, v in labels.items()]))
 
 
-def counts_of(df: DataFrame, by: list[str], y: str) -> DataFrame:
-    """Records per (group, value of `y`), nulls of `y` left out."""
-    return df.where(F.col(y).isNotNull()).groupBy(*by, y).agg(F.count("*").alias("n"))
-
-
 def _mean_median(df: DataFrame, by: str, y: str) -> DataFrame:
     found = group_quantiles(df, by, y, [0.5])
     return found.select(by, "mean", F.col("q")[0].alias("median"), "records")
@@ -269,48 +264,6 @@ def group_quantiles(
     return found.select(F.col("h_").alias(by), "records", "mean", "q")
 
 
-def quantiles(counts: DataFrame, by: str, y: str, shares: list[float], buckets: int = 256) -> DataFrame:
-    """Exact interpolated quantiles per group of a `counts_of` table, as array `q`.
-
-    For measures with any number of values. Values are put into buckets of similar size, whose
-    running counts tell which bucket holds each wanted rank; only those buckets are sorted, so no
-    task sees a whole group.
-    """
-    inner = [i / buckets for i in range(1, buckets)]
-    edges = counts.agg(F.percentile_approx(y, inner, 10 * buckets)).scalar()
-    bucket = F.size(F.filter("edges", lambda edge: edge < F.col(y)))
-    placed = counts.withColumn("edges", edges).withColumn("bucket", bucket).drop("edges")
-    sizes = placed.groupBy(by, "bucket").agg(F.sum("n").alias("size"))
-    group, upto = W.partitionBy(by), W.partitionBy(by).orderBy("bucket")
-    running = sizes.withColumn("below", F.sum("size").over(upto) - F.col("size")).withColumn(
-        "total", F.sum("size").over(group)
-    )
-    position = F.col("share") * (F.col("total") - 1)
-    ranks = F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position))))
-    asked = (
-        running.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-        .withColumn("position", position)
-        .withColumn("rank", ranks)
-        .where("below <= rank AND rank < below + size")
-        .select(F.col(by).alias("_group"), F.col("bucket").alias("_bucket"), "below", "share", "position", "rank")
-    )
-    wanted = asked.select("_group", "_bucket", "below").distinct()
-    here = F.col(by).eqNullSafe(F.col("_group")) & (F.col("bucket") == F.col("_bucket"))
-    within = W.partitionBy("_group", "_bucket").orderBy(y)
-    sorted_ = placed.join(wanted, here).select(
-        "_group", "_bucket", y, "n", (F.col("below") + F.sum("n").over(within)).alias("end")
-    )
-    a, b = asked.alias("a"), sorted_.alias("b")
-    same = F.col("a._group").eqNullSafe(F.col("b._group")) & (F.col("a._bucket") == F.col("b._bucket"))
-    covers = (F.col("a.rank") < F.col("b.end")) & (F.col("a.rank") >= F.col("b.end") - F.col("b.n"))
-    found = a.join(b, same & covers).select("a._group", "share", "position", "rank", F.col(y).cast("double").alias("v"))
-    low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
-    part = F.max("position") - F.floor(F.max("position"))
-    per_share = found.groupBy("_group", "share").agg((low + (high - low) * part).alias("v"))
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("share", "v"))), lambda s: s["v"])
-    return per_share.groupBy(F.col("_group").alias(by)).agg(listed.alias("q"))
-
-
 def box_stats(
     df: DataFrame, by: str, y: str = "delay_minutes", outliers: bool = True, accuracy: int = BRACKET_ACCURACY
 ) -> DataFrame:

@@ -39,19 +39,6 @@ def test_box_stats_leave_outliers_out(frame):
     assert got["b"]["median"] == 7.0 and got[None]["records"] == 1
 
 
-def test_quantiles_of_many_values_are_exact(spark):
-    rng = np.random.default_rng(5)
-    data = {"a": rng.normal(0, 1, 4000), "b": rng.lognormal(0, 2, 999), "c": np.array([3.5]), None: np.arange(50.0)}
-    data["a"][::3] = 7.25  # one value holds a third of a group
-    rows = [(g, float(v)) for g, vs in data.items() for v in vs]
-    counts = stats.counts_of(spark.createDataFrame(rows, "g string, y double"), ["g"], "y")
-    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {r["g"]: r["q"] for r in stats.quantiles(counts, "g", "y", shares, buckets=16).collect()}
-    assert set(got) == set(data)
-    for g, vs in data.items():
-        assert got[g] == pytest.approx(list(np.quantile(vs, shares)), rel=1e-12, abs=1e-12)
-
-
 def test_histogram_keeps_empty_bins_and_the_maximum(frame):
     df = frame([(0.0,), (10.0,), (10.0,), (4.9,)], "delay_minutes double")
     got = [r["records"] for r in stats.histogram(df, bins=5).orderBy("bin").collect()]
