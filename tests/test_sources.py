@@ -149,3 +149,14 @@ def test_a_folder_without_a_schema_has_the_union_of_columns(spark, tmp_path):
     rows = files.read_csv_folder(spark, str(tmp_path))
     assert set(rows.columns) == {"id", "n", "other"} and dict(rows.dtypes)["n"] == "string"
     assert values(rows, "id", "n", "other") == [(1, "3", None), (None, "x", 2.5)]
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    """One header per file, however many files a task reads, and no line is sorted by its file."""
+    for i in range(12):
+        (tmp_path / f"{i}.csv").write_text("\n".join([f"a{i % 3},b", *[f"{j},x" for j in range(50)]]) + "\n")
+    found = files.csv_headers(spark, str(tmp_path))
+    assert sorted(r["header"] for r in found.collect()) == sorted(f"a{i % 3},b" for i in range(12))
+    assert found.select("file").distinct().count() == 12
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
