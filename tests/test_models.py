@@ -116,6 +116,14 @@ def test_scores_by_fold_are_those_of_untouched_rows(spark):
     assert real.count() == 500 and made.where("label = 0").count() == 0
 
 
+def test_vectors_are_never_broadcast(spark):
+    """Spark takes an array for one value, so it would send vectors of any number of rows to the driver."""
+    df = spark.range(0, 300).selectExpr("id", "CAST(id % 9 = 0 AS INT) AS y", "CAST(id AS DOUBLE) AS a", "id % 3 AS f")
+    made = [balance.smote(df.drop("f"), "y", "id", ["a"]), balance.smote_by_fold(df, "y", "id", ["a"], "f")]
+    for plan in (d._jdf.queryExecution().sparkPlan().toString() for d in made):
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_models_are_sent_to_tasks_of_a_session_that_watched_a_query(spark):
     """A training summary holds the session, which tasks can't be sent once it has observed."""
     seen = Observation("rows")
