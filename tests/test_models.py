@@ -124,6 +124,14 @@ def test_vectors_are_never_broadcast(spark):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_background_rows_of_one_key_are_numbered_apart(spark):
+    df = spark.createDataFrame([(i % 4, float(i)) for i in range(20)], "id long, a double").repartition(3)
+    rows, places = explain.numbered(df, "id", 42)
+    found = rows.join(places, "row").collect()
+    assert sorted(r["partner"] for r in found) == list(range(1, 21))
+    assert sorted(r["a"] for r in found) == [float(i) for i in range(20)]
+
+
 def test_models_are_sent_to_tasks_of_a_session_that_watched_a_query(spark):
     """A training summary holds the session, which tasks can't be sent once it has observed."""
     seen = Observation("rows")
