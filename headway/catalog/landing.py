@@ -50,10 +50,11 @@ def json_columnar_explode(w: Warehouse):
 
 @register("json_pages_union", with_ctes("SELECT * FROM trips_raw"))
 def json_pages_union(w: Warehouse):
-    """Null fields are left out when written, so the pages are ragged."""
+    """Null fields are left out when written, so the pages are ragged. Pages are small files, so they
+    may be compressed: each is read by one task anyway."""
     spark = w.trips_raw.sparkSession
     path = new_path(spark, "pages.json")
-    w.trips_raw.write.option("maxRecordsPerFile", 10000).json(path)
+    w.trips_raw.write.option("maxRecordsPerFile", 10000).json(path, compression="gzip")
     return files.read_record_pages(spark, path, TRIPS_SCHEMA)
 
 
