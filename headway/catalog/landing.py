@@ -11,7 +11,7 @@ from headway.catalog.registry import register
 from headway.catalog.sql import recurring_select, seed_values, with_ctes
 from headway.operators import clean
 from headway.plans.durable import DurableWarehouse, refresh
-from headway.plans.staging import new_path
+from headway.plans.staging import new_path, small_splits, stage
 from headway.plans.warehouse import Warehouse
 from headway.sources import files, generators
 from headway.sources.schemas import EVENTS_SCHEMA, TRIPS_SCHEMA, WEATHER_MEASURES, WEATHER_RENAMES
@@ -192,12 +192,14 @@ def calendar_of(w: Warehouse) -> DataFrame:
 )
 def events_union(w: Warehouse):
     spark = w.events_raw.sparkSession
-    return clean.union_events(
+    union = clean.union_events(
         w.events_raw,
         _landed_holidays(w),
         generators.seed_events(spark),
         generators.recurring_events(calendar_of(w)),
     )
+    with small_splits(spark):  # each task sorts its events before the shuffle
+        return stage(union, "events_union")
 
 
 @register(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import clean, features, series
+from headway.plans.staging import small_splits
 from headway.plans.warehouse import Warehouse
 
 #: Small tables of a version, each written once and read as it is.
@@ -79,7 +80,8 @@ def _publish(spark: SparkSession, path: str, version: int, weather_raw: DataFram
 
     weather = write(clean.clean_weather(clean.classify_weather(weather_raw)), "weather")
     events = clean.roll_up_events(clean.clean_events(clean.largest_per_day(events_raw)))
-    event_days = write(events, "event_days")
+    with small_splits(spark):
+        event_days = write(events, "event_days")
     daily = write(features.daily_delay(facts), "daily")
     lags = features.fill_lags(features.daily_lags(daily), features.mean_over_records(daily))
     lags = lags.drop("delay_sum", "delay_records", "daily_avg_delay")
@@ -116,7 +118,8 @@ def refresh(path: str, trips_raw: DataFrame, weather_raw: DataFrame, events_raw:
     known = DurableWarehouse(spark, path, version).manifest if version else None
     if known is None or known["typical"] != typical:
         facts = _facts(trips_raw, typical)
-        facts.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(target)
+        with small_splits(spark):
+            facts.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(target)
         wrote = sorted(r[0] for r in spark.read.parquet(target).select(MONTH).distinct().collect())
         return _publish(spark, path, version + 1, weather_raw, events_raw, months, typical, wrote)
 
@@ -142,7 +145,8 @@ def refresh(path: str, trips_raw: DataFrame, weather_raw: DataFrame, events_raw:
     candidates = trips_raw.join(inside, "incident_id", "left_semi")
     fresh = _facts(candidates, typical).where(F.col(MONTH).isin(wide))
     writer = fresh.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(target)
+    with small_splits(spark):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(target)
     left = {r[0] for r in spark.read.parquet(target).where(F.col(MONTH).isin(wide)).select(MONTH).distinct().collect()}
     gone = sorted(left - {r[0] for r in fresh.select(MONTH).distinct().collect()})
     for month in gone:  # a month without records any more
