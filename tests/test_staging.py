@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from headway.operators import models
 from headway.plans import warehouse
 from headway.plans.staging import GROUP_BYTES, small_splits, stage
 from headway.plans.warehouse import Warehouse
@@ -48,3 +49,27 @@ def test_facts_are_sorted_in_small_splits(spark, monkeypatch):
     star = Warehouse(lambda: raw, lambda: None, lambda: spark.createDataFrame([], events))
     assert star.facts.count() == 1 and star.event_days.count() == 0
     assert seen["trips"] == seen["event_days"] == str(GROUP_BYTES) != spark.conf.get(_SPLIT)
+
+
+def test_fits_read_bounded_parts_of_vectors(spark, monkeypatch):
+    """Vectors of many rows in one file come in parts, whichever model is fitted."""
+    columns = [F.rand(i).alias(f"x{i}") for i in range(8)]
+    rows = spark.range(0, 400_000, 1, 1).select(F.col("id").alias("key"), F.rand(9).alias("label"), *columns)
+    vectors = models.training_vectors(rows, [f"x{i}" for i in range(8)])
+    (file,) = vectors.inputFiles()
+    assert pq.ParquetFile(file.removeprefix("file://")).metadata.num_row_groups > 2
+    seen = []
+    monkeypatch.setattr(models, "without_summary", lambda model: seen.append(spark.conf.get(_SPLIT)) or model)
+    models.cross_validate(models.regressors()["Linear Regression"], vectors.limit(1000), "key", "regression")
+    assert seen == [str(models.FIT_BYTES)] * 5 and spark.conf.get(_SPLIT) != seen[0]
+
+
+def test_folds_fitted_together_score_as_one_by_one(spark, monkeypatch):
+    rows = spark.range(0, 600).select(F.col("id").alias("key"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    vectors = models.training_vectors(rows.withColumn("label", F.col("a") + F.rand(3)), ["a", "b"])
+    model = models.regressors()["Linear Regression"]
+    together = models.cross_validate(model, vectors, "key", "regression")
+    monkeypatch.setattr(models, "FOLDS_AT_ONCE", 1)
+    assert together == pytest.approx(models.cross_validate(model, vectors, "key", "regression"))
+    with pytest.raises(ValueError):
+        models.cross_validate(model, vectors.where("key = 1"), "key", "regression")
