@@ -30,6 +30,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,15 +51,26 @@ KEPT_NODES = 4_000_000
 _WORD = re.compile("▁*[^▁]+|▁+")
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)  # of the hashes by which beginnings of pieces are found
+_LOW = (1 << 64) - 1
+_TOP = 47  # bits below those that lead to the place of a hash
 
 #: Texts handled together; the edges of their new words are built at once.
 LATTICE_CHARS = 1 << 19
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> _U(27))) * _U(0x94D049BB133111EB)
-    return values ^ (values >> _U(31))
+    values = values ^ (values >> _U(30))
+    values *= _U(0xBF58476D1CE4E5B9)
+    values ^= values >> _U(27)
+    values *= _U(0x94D049BB133111EB)
+    values ^= values >> _U(31)
+    return values
+
+
+def _mixed_one(value: int) -> int:
+    value = ((value ^ (value >> 30)) * 0xBF58476D1CE4E5B9) & _LOW
+    value = ((value ^ (value >> 27)) * 0x94D049BB133111EB) & _LOW
+    return value ^ (value >> 31)
 
 
 def _uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -68,20 +80,38 @@ def _uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _one(seed: int, *places: int) -> float:
-    """One number in (0, 1) that depends on the seed and all places."""
-    value = np.array([seed], dtype=_U)
+    """One number in (0, 1) that depends on the seed and all places, the last as in `_uniform`."""
+    value = seed
     for place in places[:-1]:
-        value = _mixed(value + np.array([place], dtype=_U) * _U(0xD1342543DE82EF95))
-    return float(_uniform(value, np.array(places[-1:]))[0])
+        value = _mixed_one((value + place * 0xD1342543DE82EF95) & _LOW)
+    mixed = _mixed_one((value + places[-1] * 0x9E3779B97F4A7C15) & _LOW)
+    return (float(mixed >> 11) + 0.5) / float(1 << 53)
 
 
 def split_words(text: str) -> list[str]:
     """Words of a normalised text, each with the `▁` before it."""
-    if text.startswith("▁") and "▁▁" not in text and not text.endswith("▁"):
-        return ["▁" + word for word in text[1:].split("▁")]
     return _WORD.findall(text)
 
 
+def distinct_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct words of normalised texts, the place of each word among them, and how many each text has."""
+    plain = [t.startswith("▁") and "▁▁" not in t and not t.endswith("▁") for t in texts]
+    parts = pc.split_pattern(pa.array([t[1:] for t, p in zip(texts, plain) if p], pa.large_string()), "▁")
+    coded = parts.flatten().dictionary_encode()
+    words = ["▁" + word for word in coded.dictionary.to_numpy(zero_copy_only=False)]
+    codes = coded.indices.to_numpy().astype(np.int64)
+    sizes = pc.list_value_length(parts).to_numpy().astype(np.int64)
+    if all(plain):
+        return words, codes, sizes
+    known = {word: i for i, word in enumerate(words)}
+    split = iter(np.split(codes, np.cumsum(sizes)))
+    own = [
+        next(split) if p else np.array([known.setdefault(w, len(known)) for w in split_words(t)], dtype=np.int64)
+        for t, p in zip(texts, plain)
+    ]
+    return list(known), np.concatenate(own), np.array([len(x) for x in own], dtype=np.int64)
+
+
 class Pieces:
     """Pieces, their weights and their bytes, from a SentencePiece model."""
 
@@ -105,11 +135,13 @@ class Pieces:
             b"" if odd[i] else bytes([int(t[3:5], 16)]) if byte[i] else t.replace("▁", " ").encode()
             for i, t in enumerate(texts)
         ]
+        self.contents = pa.array(self.content, pa.large_binary())
         self.unknown = self.model.unk_id()
         self.tables = self._tables()
 
-    def _tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """By length: sorted hashes of all beginnings of pieces, and the piece that each one is."""
+    def _tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By length: sorted hashes of all beginnings of pieces, the piece that each one is, and where
+        the hashes of each value of their top bits start."""
         found: dict[int, dict[str, int]] = {}
         for part in self.begun:
             found.setdefault(len(part), {})[part] = self.places.get(part, -1)
@@ -119,8 +151,12 @@ class Pieces:
             hashes = np.zeros(len(codes), dtype=_U)
             for i in range(n):
                 hashes = hashes * _STEP + codes[:, i].astype(_U) + _U(1)
+            hashes = _mixed(hashes)
             order = np.argsort(hashes)
-            tables.append((hashes[order], np.array(list(found[n].values()), dtype=np.int64)[order]))
+            hashes = np.append(hashes[order], _U(_LOW))
+            tops = np.arange(1 << (64 - _TOP), dtype=_U) << _U(_TOP)
+            begun = np.searchsorted(hashes, tops).astype(np.int32)
+            tables.append((hashes, np.append(np.array(list(found[n].values()), dtype=np.int64)[order], -1), begun))
         return tables
 
     def normalised(self, text: str) -> str:
@@ -136,6 +172,22 @@ class Pieces:
         data = b"".join(map(content.__getitem__, ids))
         return data.removeprefix(b" ").decode(errors="replace")
 
+    def decode_each(self, rows: list[np.ndarray]) -> Iterator[bytes]:
+        """The text of each row of ids in UTF-8, as `decode` gives it; one Arrow call joins all pieces."""
+        ends = np.cumsum([0] + [len(ids) for ids in rows])
+        taken = self.contents.take(pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+        _, offsets, joined = taken.buffers()
+        places = np.frombuffer(offsets, np.int64, len(taken) + 1)[ends] if len(taken) else np.zeros(len(ends), np.int64)
+        places = places.tolist()
+        whole = memoryview(joined) if joined else b""
+        for low, high in zip(places[:-1], places[1:]):
+            data = bytes(whole[low:high]).removeprefix(b" ")
+            try:
+                data.decode()
+            except UnicodeDecodeError:
+                data = data.decode(errors="replace").encode()
+            yield data
+
     def fallback(self, char: str) -> tuple[list[int], float]:
         """Ids and weight of a character that has no piece."""
         if not self.byte_ids:
@@ -185,14 +237,19 @@ class Lattices:
         # Edges from each character: every piece that begins there. Node = character + word number.
         starts, sizes, numbers, weights = [], [], [], []
         at, hashes = np.arange(len(codes), dtype=np.int32), np.zeros(len(codes), dtype=_U)
-        for n, (known, piece) in enumerate(self.model.tables, 1):
-            inside = at + n <= end_of[at]
+        for n, (known, piece, begin) in enumerate(self.model.tables, 1):
+            inside = np.flatnonzero(at + n <= end_of[at])
             at, hashes = at[inside], hashes[inside]
             if not len(at):
                 break
             hashes = hashes * _STEP + codes[at + (n - 1)] + _U(1)
-            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            begun = np.flatnonzero(known[place] == hashes)
+            sought = _mixed(hashes)
+            place = begin[sought >> _U(_TOP)]
+            late = np.flatnonzero(known[place] < sought)
+            while len(late):
+                place[late] += 1
+                late = late[known[place[late]] < sought[late]]
+            begun = np.flatnonzero(known[place] == sought)
             at, hashes, found = at[begun], hashes[begun], piece[place[begun]]
             whole = np.flatnonzero(found >= 0)
             if n == 1:
@@ -257,29 +314,33 @@ class Lattices:
         self.length.frombytes(lengths.astype("q").tobytes())
 
     def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words; new ones are built and numbered in their order."""
         found = list(map(self.words.get, words))
-        if None in found:
-            new = [i for i, number in enumerate(found) if number is None]
-            self._add(list(dict.fromkeys([words[i] for i in new])))
-            for i in new:
-                found[i] = self.words[words[i]]
+        new = [i for i, number in enumerate(found) if number is None] if None in found else []
+        if not new:
+            return np.array(found, dtype=np.int64)
+        first = len(self.length)
+        self._add([words[i] for i in new])
+        for number, i in enumerate(new, first):
+            found[i] = number
         return np.array(found, dtype=np.int64)
 
-    def ids(self, chosen: np.ndarray) -> np.ndarray:
-        """Piece ids of chosen pieces, characters without a piece spelled in bytes."""
+    def ids(self, chosen: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of chosen pieces, characters without a piece spelled in bytes, and where the
+        runs that end at `ends` end in them."""
         odd = np.flatnonzero(chosen < 0)
         if not len(odd):
-            return chosen
+            return chosen, ends
         if max(map(len, self.extra_ids)) == 1:
             out = chosen.copy()
             out[odd] = np.array(self.extra_ids)[-1 - chosen[odd], 0]
-            return out
+            return out, ends
         spelled = [self.extra_ids[-1 - p] for p in chosen[odd].tolist()]
         sizes = np.ones(len(chosen), dtype=np.int64)
         sizes[odd] = [len(x) for x in spelled]
         out = np.repeat(chosen, sizes)
         out[np.repeat(chosen < 0, sizes)] = [i for x in spelled for i in x]
-        return out
+        return out, np.concatenate(([0], np.cumsum(sizes)))[ends]
 
 
 class _View:
@@ -342,11 +403,11 @@ def sample_texts(
     """For each text up to `samples` segmentations: (ids, log probability, log inclusion)."""
     if len(lattices.edge_start) > KEPT_NODES:
         lattices.clear()
-    words = [split_words(lattices.model.normalised(text)) for text in texts]
-    number = lattices.numbers([w for own in words for w in own])
+    words, place, sizes = distinct_words([lattices.model.normalised(text) for text in texts])
+    number = lattices.numbers(words)[place]
     view = _View(lattices)
-    ends = np.cumsum([0] + [len(own) for own in words])
-    owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    owner = np.repeat(np.arange(len(texts)), sizes)
     slot = np.arange(len(number)) - ends[owner]
     nodes, lengths = view.first_node[number], view.length[number]
     seeds = np.array([xxhash.xxh3_64_intdigest(f"{seed}:{key}") for key in keys], dtype=_U)
@@ -358,37 +419,55 @@ def sample_texts(
     word_seeds = _mixed(seeds[owner] + slot.astype(_U) * _U(0xA24BAED4963EE407))
 
     def emit(which: list[int], begin: list[tuple[int, int]], kept: list[np.ndarray], n: int) -> None:
-        """Complete segmentations: `kept` edges, then draws from word and character `begin` on."""
-        spans = [np.arange(searches[i].first + b, searches[i].last) for i, (b, _) in zip(which, begin)]
-        inst = np.concatenate(spans) if spans else np.zeros(0, np.int64)
-        bounds = np.cumsum([0] + [len(span) for span in spans])
+        """Complete segmentations: `kept` edges, then draws from word and character `begin` on.
+
+        All texts are drawn and perturbed together; only frontiers are kept text by text.
+        """
+        low = np.array([searches[i].first + word for i, (word, _) in zip(which, begin)], dtype=np.int64)
+        sizes = np.array([searches[i].last for i in which], dtype=np.int64) - low
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        inst = np.arange(int(bounds[-1])) + np.repeat(low - bounds[:-1], sizes)
         stop = lengths[inst]
-        for low, high, (_, end) in zip(bounds[:-1], bounds[1:], begin):
-            if high > low and end >= 0:
-                stop[low] = end
+        end = np.array([end for _, end in begin], dtype=np.int64)
+        cut = np.flatnonzero((sizes > 0) & (end >= 0))
+        stop[bounds[cut]] = end[cut]
         count, edges = _walk(view, nodes[inst], stop, _mixed(word_seeds[inst] + _U(n)))
-        total = np.concatenate(([0], np.cumsum(count)))
-        for i, a, b, (word, _), head in zip(which, bounds[:-1], bounds[1:], begin, kept):
-            search = searches[i]
-            path = np.concatenate([head[0], edges[total[a] : total[b]]])
-            place = np.concatenate([head[1], np.repeat(np.arange(word, word + b - a), count[a:b])])
-            logs = view.log[path]
-            before = np.concatenate(([0.0], np.cumsum(logs)))
+        parts = np.concatenate(([0], np.cumsum(count)))[bounds].tolist()
+        places, drawn = np.repeat(slot[inst], count), view.log[edges]
+        masses, lasts, firsts = [], [], []
+        for i, a, b, head in zip(which, parts[:-1], parts[1:], kept):
+            path, place, logs = edges[a:b], places[a:b], drawn[a:b]
             known = len(head[0])
-            near = max(known, int(np.searchsorted(-before[:-1], REACH, side="right")))
-            fresh = np.arange(known, near)
-            with np.errstate(divide="ignore"):
-                masses = before[known:near] + np.log(-np.expm1(logs[known:near]))
-            round_seed = _mixed(np.full(len(fresh), _U(search.seed)) + _U(n + 1))
-            values = _truncated(masses, search.bound, _uniform(round_seed, fresh))
-            values = np.where(logs[known:near] >= 0, -np.inf, values)
-            search.emitted.append({"path": path, "place": place, "before": before})
-            order = len(search.emitted) - 1
-            want = min(samples, len(values))
-            for j in np.argpartition(-values, want - 1)[:want].tolist() if want else ():
-                if values[j] > -np.inf:
-                    step = int(fresh[j])
-                    heapq.heappush(search.heap, (-float(values[j]), order, step, (int(path[step]),)))
+            if known:
+                path, place = np.concatenate([head[0], path]), np.concatenate([head[1], place])
+                logs = np.concatenate([view.log[head[0]], logs])
+            before = np.zeros(len(logs) + 1)
+            np.cumsum(logs, out=before[1:])
+            near = max(known, int((-before[:-1]).searchsorted(REACH, side="right")))
+            masses.append(before[known:near])
+            lasts.append(logs[known:near])
+            firsts.append(known)
+            searches[i].emitted.append({"path": path, "place": place, "before": before})
+        if not which:
+            return
+        fresh = np.array([len(x) for x in masses])
+        spans = np.concatenate(([0], np.cumsum(fresh)))
+        last, mass = np.concatenate(lasts), np.concatenate(masses)
+        step = np.arange(len(last)) + np.repeat(np.array(firsts) - spans[:-1], fresh)
+        with np.errstate(divide="ignore"):
+            mass = mass + np.log(-np.expm1(last))
+        round_seeds = _mixed(np.array([searches[i].seed for i in which], dtype=_U) + _U(n + 1))
+        bound = np.repeat(np.array([searches[i].bound for i in which]), fresh)
+        values = _truncated(mass, bound, _uniform(np.repeat(round_seeds, fresh), step))
+        values = np.where(last >= 0, -np.inf, values)
+        spans = spans.tolist()
+        for i, a, b, known in zip(which, spans[:-1], spans[1:], firsts):
+            search, own = searches[i], values[a:b]
+            order, path = len(search.emitted) - 1, search.emitted[-1]["path"]
+            want = min(samples, b - a)
+            for j in (-own).argpartition(want - 1)[:want].tolist() if want else ():
+                if own[j] > -np.inf:
+                    heapq.heappush(search.heap, (-float(own[j]), order, known + j, (int(path[known + j]),)))
 
     everyone = list(range(len(texts)))
     nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -425,6 +504,12 @@ def sample_texts(
             kept.append((path, np.append(source["place"][:step], word)))
         emit(which, begin, kept, n)
 
+    every = [one for search in searches for one in search.emitted]
+    ends = np.cumsum([len(one["path"]) for one in every])
+    chosen = view.piece[np.concatenate([one["path"] for one in every])] if every else np.zeros(0, np.int32)
+    place = np.concatenate([one["place"] for one in every]) if every else np.zeros(0, np.int64)
+    ids, ends = lattices.ids(_in_reading_order(chosen.astype(np.int64), place, ends), ends)
+    spans = zip([0, *ends.tolist()[:-1]], ends.tolist())
     out = []
     for search in searches:
         bound = -search.heap[0][0] if search.heap else -math.inf
@@ -433,20 +518,22 @@ def sample_texts(
             log = float(one["before"][-1])
             x = log - bound
             inclusion = 0.0 if x > 4 else x if x < -30 else math.log(-math.expm1(-math.exp(x)))
-            ids = _in_reading_order(view.piece[one["path"]].astype(np.int64), one["place"])
-            found.append((lattices.ids(ids), log, inclusion))
+            low, high = next(spans)
+            found.append((ids[low:high], log, inclusion))
         out.append(found)
     del view
     return out
 
 
-def _in_reading_order(chosen: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Pieces of a word are drawn from its end, so each word's run is turned round."""
+def _in_reading_order(chosen: np.ndarray, place: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Pieces of a word are drawn from its end, so each word's run is turned round; `ends` part texts."""
     if not len(chosen):
         return chosen
-    starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    ends = np.append(starts[1:], len(place))
-    mirror = np.repeat(starts + ends - 1, ends - starts) - np.arange(len(place))
+    begins = np.concatenate(([True], place[1:] != place[:-1]))
+    begins[ends[ends < len(place)]] = True
+    starts = np.flatnonzero(begins)
+    stops = np.append(starts[1:], len(place))
+    mirror = np.repeat(starts + stops - 1, stops - starts) - np.arange(len(place))
     return chosen[mirror]
 
 
@@ -527,11 +614,11 @@ def op2_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the segmentations: the ids' CRC-32 and the length and CRC-32 of what they decode to."""
 
     def digests(own: Pieces, found: Found) -> list[pa.Array]:
-        rows = []
-        for one in found:
-            for ids, _, _ in one:
-                data = own.decode(ids.tolist()).encode()
-                rows.append((crc32(ids.astype("<u4").tobytes()), len(ids), len(data), crc32(data)))
+        drawn = [ids for one in found for ids, _, _ in one]
+        rows = [
+            (crc32(ids.astype("<u4").tobytes()), len(ids), len(data), crc32(data))
+            for ids, data in zip(drawn, own.decode_each(drawn))
+        ]
         return [pa.array([row[i] for row in rows], pa.int64()) for i in range(4)]
 
     columns = "ids_crc32 BIGINT, n_pieces BIGINT, text_bytes BIGINT, text_crc32 BIGINT"

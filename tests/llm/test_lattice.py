@@ -89,3 +89,35 @@ def test_odd_rows(odd_docs):
     texts = {(r["doc_id"], r["decoded"]) for r in lattice.decoded(rows).collect()}
     assert texts == {(r["doc_id"], r["text"] or "") for r in odd_docs.collect()}
     assert lattice.sampled_segmentations(odd_docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("texts", [["a lattice", "of", "a of a"], ["", "two  gaps ", "  ", "of two"], []])
+def test_distinct_words_are_those_of_each_text(model, texts):
+    seen = [model.normalised(text) for text in texts]
+    words, place, sizes = lattice.distinct_words(seen)
+    ends = np.cumsum([0, *sizes])
+    assert len(set(words)) == len(words) and len(sizes) == len(texts)
+    for text, low, high in zip(seen, ends[:-1], ends[1:]):
+        assert [words[i] for i in place[low:high]] == lattice.split_words(text)
+
+
+def test_rows_decode_together_as_alone(model):
+    byte = model.byte_ids
+    rows = [model.encode("a cat"), [], [byte[0xE4], byte[0xB8]], model.encode("é中x\x00"), [byte[0xFF]]]
+    together = list(model.decode_each([np.array(ids, dtype=np.int64) for ids in rows]))
+    assert together == [model.decode(ids).encode() for ids in rows]
+    assert list(model.decode_each([])) == [] and list(model.decode_each([np.zeros(0, np.int64)])) == [b""]
+
+
+def test_one_number_is_that_of_arrays():
+    for seed in (0, 1, (1 << 64) - 1):
+        assert lattice._one(seed, 3) == lattice._uniform(np.array([seed], np.uint64), np.array([3]))[0]
+
+
+def test_texts_of_a_batch_share_words_and_a_call_of_decode(model, monkeypatch):
+    """Work is per batch: 300 texts take no more calls of the word store than one."""
+    calls = []
+    numbers = lattice.Lattices.numbers
+    monkeypatch.setattr(lattice.Lattices, "numbers", lambda self, words: calls.append(len(words)) or numbers(self, words))
+    lattice.sample_texts(["the same words"] * 300, list(map(str, range(300))), lattice.Lattices(model), 3, 1)
+    assert calls == [3]
