@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import smoothing
 from headway.operators import balance, explain, models, sampling, scenario, series
+from headway.plans import staging
 from tests.conftest import values
 
 
@@ -317,3 +318,36 @@ def test_linear_attribution_is_exact(frame):
     rows = frame([(1, 1.0, 5.0), (2, 3.0, 9.0)], "id int, a double, b double")
     got = explain.linear_attribution(rows, "id", ["a", "b"], [2.0, -1.0], rows)
     assert values(got) == [(1, "a", -2.0), (1, "b", 2.0), (2, "a", 2.0), (2, "b", -2.0)]
+
+
+def test_all_models_are_scored_in_one_pass(spark):
+    """Test rows are read once, and every model predicts what it predicts on its own."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    rows = spark.range(0, 400).selectExpr("id", "CAST(id % 20 AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b", "1.0D AS weight")
+    for task, chosen in (("regression", models.regressors(SMALL)), ("classification", models.classifiers(SMALL))):
+        label = "a * 3 + b" if task == "regression" else "CAST(a + b > 13 AS DOUBLE)"
+        train = rows.withColumn("label", F.expr(label))
+        test = train.withColumn("a", counted.asNondeterministic()("a"))
+        seen.value = 0
+        found = models.compare(train, test, ["a", "b"], "id", task, chosen, folds=None)
+        assert seen.value == 400
+        together = models.predictions({name: one.stages[-1] for name, one in found.fitted.items()}, train, ["a", "b"])
+        for name, one in found.fitted.items():
+            assert values(one.transform(train).select("label", "prediction")) == values(together.select("label", name))
+
+
+def test_wide_vectors_are_written_by_small_methods(spark, monkeypatch):
+    """The JVM compiles no method as large as the one that 95 columns make."""
+    seen = []
+    monkeypatch.setattr(models, "stage", lambda df, name, **more: seen.append((name, spark.conf.get(staging._METHOD))) or df)
+    usual = spark.conf.get(staging._METHOD)
+    train = spark.range(0, 9).selectExpr("id", "CAST(id % 3 = 0 AS DOUBLE) AS label", "CAST(id AS DOUBLE) AS a")
+    models.training_vectors(train, ["a"])
+    small = str(staging.METHOD_BYTES)
+    assert seen == [("training_vectors", small)] and spark.conf.get(staging._METHOD) == usual != small
