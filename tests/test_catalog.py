@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from headway.catalog import QUERIES, SQL
+from headway.catalog import QUERIES, SQL, modelling, registry
 from headway.catalog.check import compare, connect
 
 SF_DIR = os.environ.get("HEADWAY_TEST_DIR", "/root/testdata/sf0.001")
@@ -29,6 +29,49 @@ def test_runs_twice_alike(spark, key):
     assert first == second and first
 
 
+SIZES = {
+    "DecisionTree": {"maxDepth": 15},
+    "RandomForest": {"maxDepth": 15, "numTrees": 100},
+    "GBT": {"maxDepth": 6, "maxIter": 100},
+    "LogisticRegression": {"maxIter": 1000},
+}
+
+
+def test_training_queries_use_models_of_full_size(spark, monkeypatch):
+    """What the queries hand over to be fitted and cross-validated, without fitting any of it."""
+
+    class Rows:
+        trips = type("Trips", (), {"sparkSession": spark})
+
+    handed = {"compare": [], "cross_validate": [], "cross_validate_resampled": []}
+
+    def noted(name, *models):
+        handed[name] += models
+        return 0.0, 0.0
+
+    stubs = {
+        "compare": lambda train, test, features, key, task, chosen, folds: noted("compare", *chosen.values()),
+        "cross_validate": lambda model, *rest: noted("cross_validate", model),
+        "cross_validate_resampled": lambda model, *rest: noted("cross_validate_resampled", model),
+        "resampled_folds": lambda *rest: (None, None),
+        "training_vectors": lambda *rest: None,
+    }
+    for name, stub in stubs.items():
+        monkeypatch.setattr(modelling.models, name, stub)
+    for name in ("_regression_split", "_classification_split", "_balanced"):
+        monkeypatch.setattr(modelling, name, lambda w: (None, None))
+    monkeypatch.setattr(modelling.encode, "feature_names", lambda rows: [])
+    rows = Rows()
+    monkeypatch.setattr(registry, "warehouse", lambda spark, sf_dir: rows)
+    modelling._regression(rows), modelling._classification(rows)
+    QUERIES["cv_scores"](spark, SF_DIR), QUERIES["cv_by_fold"](spark, SF_DIR)
+    assert [len(models) for models in handed.values()] == [8, 8, 4]
+    for model in (m for models in handed.values() for m in models):
+        for kind, sizes in SIZES.items():
+            if type(model).__name__.startswith(kind):
+                assert {name: model.getOrDefault(name) for name in sizes} == sizes
+
+
 def test_invariants_hold(spark):
     row = QUERIES["dataset_invariants"](spark, SF_DIR).first().asDict()
     assert set(row.values()) == {0}
